@@ -21,19 +21,19 @@ def digest(salt, *key) -> Column:
 
 
 def uniform(hex_digest: Column, part: int = 0) -> Column:
-    """Uniform double in [0, 1) from one half (0 or 1) of a digest.
-
-    Declared non-null, so that joins on a drawn index do not add a null check that
-    would compute the digest a second time.
-    """
+    """Uniform double in [0, 1) from one half (0 or 1) of a digest."""
     digits = F.substring(hex_digest, 1 + part * _HEX_DIGITS, _HEX_DIGITS)
-    return F.coalesce(F.conv(digits, 16, 10).cast("bigint") / F.lit(_RANGE), F.lit(0.0))
+    return F.conv(digits, 16, 10).cast("bigint") / F.lit(_RANGE)
 
 
 def uniform_index(hex_digest: Column, n, part: int = 0) -> Column:
-    """Uniform integer in [0, n)."""
+    """Uniform integer in [0, n).
+
+    Declared non-null, so that joins on a drawn index do not add a null check that
+    would compute the digest a second time.
+    """
     n = n if isinstance(n, Column) else F.lit(n)
-    return F.floor(uniform(hex_digest, part) * n).cast("bigint")
+    return F.coalesce(F.floor(uniform(hex_digest, part) * n).cast("bigint"), F.lit(0))
 
 
 def bucket(hex_digest: Column, digits: int) -> Column:

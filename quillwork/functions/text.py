@@ -114,8 +114,12 @@ def pollution_question(prompt, text) -> Column:
     return fill(POLLUTION_QUESTION, prompt=prompt, text=text)
 
 
+def _tokens(text) -> Column:
+    """Lower-case tokens between spaces and newlines."""
+    return F.split(F.replace(F.lower(_column(text)), F.lit("\n"), F.lit(" ")), " ", -1)
+
+
 def token_containment(prompt, text) -> Column:
     """Share of the distinct lower-case tokens of ``prompt`` found in ``text``."""
-    wanted = F.array_distinct(F.split(F.lower(_column(prompt)), " ", -1))
-    found = F.array_intersect(wanted, F.split(F.lower(_column(text)), " ", -1))
-    return F.size(found) / F.size(wanted)
+    wanted = F.array_distinct(_tokens(prompt))
+    return F.size(F.array_intersect(wanted, _tokens(text))) / F.size(wanted)

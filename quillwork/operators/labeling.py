@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import NaiveBayes
-from pyspark.ml.feature import HashingTF, NGram, StringIndexer
+from pyspark.ml.feature import HashingTF, StringIndexer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,25 +25,24 @@ from quillwork.operators.sampling import bypassed
 # -- language ---------------------------------------------------------------
 
 
-def _with_letters(df: DataFrame, text_col: str) -> DataFrame:
-    return df.withColumn("_letters", F.split(F.lower(text_col), ""))
+def _with_tokens(df: DataFrame, text_col: str) -> DataFrame:
+    return df.withColumn("_tokens", F.split(F.lower(text_col), " ", -1))
 
 
 def train_language_model(
-    df: DataFrame, text_col: str = "original_text", label_col: str = "lang", features: int = 1 << 14
+    df: DataFrame, text_col: str = "original_text", label_col: str = "lang", features: int = 1 << 16
 ) -> PipelineModel:
-    """Naive Bayes over hashed letter trigrams of the whole text.
+    """Naive Bayes over hashed word counts of the whole text.
 
     Fitting is one pass that sums term counts per language, combined before the
     shuffle; what reaches the driver is languages x features numbers.
     """
     stages = [
         StringIndexer(inputCol=label_col, outputCol="_label", stringOrderType="alphabetAsc"),
-        NGram(n=3, inputCol="_letters", outputCol="_trigrams"),
-        HashingTF(numFeatures=features, inputCol="_trigrams", outputCol="_features"),
+        HashingTF(numFeatures=features, inputCol="_tokens", outputCol="_features"),
         NaiveBayes(featuresCol="_features", labelCol="_label", probabilityCol="_probability"),
     ]
-    return Pipeline(stages=stages).fit(_with_letters(df, text_col).select(label_col, "_letters"))
+    return Pipeline(stages=stages).fit(_with_tokens(df, text_col).select(label_col, "_tokens"))
 
 
 def with_language_probability(
@@ -51,7 +50,7 @@ def with_language_probability(
 ) -> DataFrame:
     """Adds P(language). Labels are not needed: only the feature and model stages run."""
     indexer, *stages = model.stages
-    scored = _with_letters(df, text_col)
+    scored = _with_tokens(df, text_col)
     for stage in stages:
         scored = stage.transform(scored)
     number = indexer.labels.index(language)

@@ -17,13 +17,15 @@ def generated_prompts(spark: SparkSession) -> DataFrame:
     One row per template carries its family's values as an array; exploding that
     array gives the product without a join.
     """
-    rows = []
-    for family, (values, templates) in CATALOGUE.items():
-        for template in templates:
+    templates = []
+    for family, (values, family_templates) in CATALOGUE.items():
+        words = F.array(*[F.lit(value) for value in values])
+        for template in family_templates:
             (head, _, _, _), *rest = Formatter().parse(template)
-            rows.append((family, head, rest[0][0] if rest else "", values))
-    templates = spark.createDataFrame(rows, "source string, head string, tail string, words array<string>")
-    return templates.select("source", "head", "tail", F.explode("words").alias("word")).select(
+            tail = rest[0][0] if rest else ""
+            templates.append(F.struct(F.lit(family), F.lit(head), F.lit(tail), words))
+    table = spark.range(0, 1, 1, 1).select(F.inline(F.array(*templates)).alias("source", "head", "tail", "words"))
+    return table.select("source", "head", "tail", F.explode("words").alias("word")).select(
         "source", F.concat("head", "word", "tail").alias("rewrite_prompt")
     )
 

@@ -17,7 +17,7 @@ from quillwork.operators.ranking import sample_per_split
 from quillwork.operators.sampling import attach_examples
 from quillwork.operators.scorers import BatchScorer, with_scores
 from quillwork.operators.scoring import similarity_summary, with_candidate_scores
-from quillwork.schemas import SCORED, require
+from quillwork.schemas import EXAMPLE, SCORED, require
 from quillwork.session import materialise
 from quillwork.sources.versions import VersionedTables
 
@@ -71,6 +71,12 @@ def gather_pairs(tables: VersionedTables, key: list[str], kind: str = "generated
     return preference_pairs(require(tables.read_all(kind, SCORED), SCORED, "gather_pairs"), key)
 
 
+def test_pool(df: DataFrame, key: list[str]) -> DataFrame:
+    """The test split as a few-shot pool, written once since it is read several times."""
+    pool = df.where(F.col("split") == "test").select(*key, *EXAMPLE.names)
+    return materialise(pool, "pool")
+
+
 def supervised_examples(
     df: DataFrame,
     style: str,
@@ -87,7 +93,7 @@ def supervised_examples(
     """
     examples = None
     if style_of(style).layout == "stack":
-        pool = df.where(F.col("split") == "test") if pool is None else pool
+        pool = test_pool(df, key) if pool is None else pool
         df = attach_examples(df, pool, key, key, num_examples, seed)
         examples = "examples"
     texts = format_rows(df, style, key, examples=examples, system=system, seed=seed)
@@ -137,7 +143,7 @@ def evaluate(
         rows = sample_per_split(rows, validation_size, key, seed, ("validation",))
     examples = None
     if style_of(style).layout == "stack":
-        pool = df.where(F.col("split") == "test") if pool is None else pool
+        pool = test_pool(df, key) if pool is None else pool
         rows = attach_examples(rows, pool, key, key, num_examples, seed)
         examples = "examples"
     inputs = with_marker(inference_inputs(rows, style, key, examples, system, open_answer, seed), style)

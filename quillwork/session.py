@@ -60,3 +60,15 @@ def materialise(df: DataFrame, name: str = "stage") -> DataFrame:
     path = new_folder(spark, name)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def widen(scan: DataFrame, *key: str) -> DataFrame:
+    """Spread a table scan over all cores when it has fewer partitions than that.
+
+    Few files or one huge row group give few tasks, whatever is done per row. With
+    at least as many partitions as cores, the usual case for a large table, the
+    scan is returned as it is. Only for plain scans: the partitions of a shuffled
+    frame are not known before it runs.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores, *key)

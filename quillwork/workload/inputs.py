@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from quillwork.functions.text import word_count
 from quillwork.operators.prompts import distinct_prompts, generated_prompts
 from quillwork.operators.sampling import draw_prompts, prompt_pool, split_of
+from quillwork.session import widen
 from quillwork.sources.corpora import raw_texts
 
 PAIR_KEY = ["conv_id", "turn"]
@@ -17,12 +18,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``documents`` as raw_texts, keyed by doc_id."""
+def texts(spark: SparkSession, sf_dir: str, heavy: bool = False, row_key=("doc_id",)) -> DataFrame:
+    """``documents`` as raw_texts, keyed by doc_id; spread out first for ``heavy`` work per row."""
     documents = table(spark, sf_dir, "documents")
-    return raw_texts(
-        documents, "text", F.col("source"), split_of("doc_id"), F.lit("documents"), row_key=["doc_id"]
-    )
+    if heavy:
+        documents = widen(documents, "doc_id")
+    return raw_texts(documents, "text", F.col("source"), split_of("doc_id"), F.lit("documents"), row_key=row_key)
 
 
 def benchmark_prompts(spark: SparkSession, sf_dir: str, source: str = "benchmark") -> DataFrame:

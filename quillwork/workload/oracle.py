@@ -198,8 +198,11 @@ def _topics(rows: str, text: str) -> str:
 
 
 def _containment(prompt: str, text: str) -> str:
-    tokens = f"list_distinct(string_split(lower({prompt}), ' '))"
-    return f"(len(list_intersect({tokens}, string_split(lower({text}), ' '))) / len({tokens}))"
+    def tokens(t: str) -> str:
+        return f"string_split(replace(lower({t}), chr(10), ' '), ' ')"
+
+    wanted = f"list_distinct({tokens(prompt)})"
+    return f"(len(list_intersect({wanted}, {tokens(text)})) / len({wanted}))"
 
 
 def _sampled(rows: str, n: int, seed: int, key: str) -> str:

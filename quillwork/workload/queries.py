@@ -183,9 +183,7 @@ def topic_label(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def language_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P(English) from a model trained on the train split, for every document."""
-    documents = inputs.texts(spark, sf_dir).join(
-        table(spark, sf_dir, "documents").select("doc_id", "lang"), "doc_id"
-    )
+    documents = inputs.texts(spark, sf_dir, heavy=True, row_key=("doc_id", "lang"))
     model = train_language_model(documents.where(F.col("split") == "train"))
     return with_language_probability(documents, model).select("doc_id", "split", "lang", "en")
 
@@ -199,7 +197,7 @@ def _echoing_generator(batch: pd.DataFrame) -> pd.DataFrame:
 
 def batch_generate(spark: SparkSession, sf_dir: str) -> DataFrame:
     filled = with_generation_input(
-        inputs.texts(spark, sf_dir).withColumn("rewrite_prompt", F.lit("Improve the text.")), ["doc_id"]
+        inputs.texts(spark, sf_dir, heavy=True).withColumn("rewrite_prompt", F.lit("Improve the text.")), ["doc_id"]
     )
     generated = generate_texts(
         filled, FunctionScorer(_echoing_generator), "echo", {"output_len": 100, "top_k": 20}, echoes=True,
@@ -221,7 +219,7 @@ def table_generate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def rewrite_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Select, render, generate and label, as one chain of jobs."""
-    templates = add_templates(inputs.texts(spark, sf_dir), inputs.prompts(spark, sf_dir), ["doc_id"])
+    templates = add_templates(inputs.texts(spark, sf_dir, heavy=True), inputs.prompts(spark, sf_dir), ["doc_id"])
     scores = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("double").alias("en"))
     selected = select_texts(
         templates, ["doc_id", "draw_no"], lambda df: df.join(scores, "doc_id"),
@@ -393,7 +391,7 @@ def chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def message_stack(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = inputs.split_triples(spark, sf_dir)
-    pool = rows.where(F.col("split") == "test")
+    pool = materialise(rows.where(F.col("split") == "test"), "pool")
     rows = attach_examples(rows, pool, PAIR_KEY, PAIR_KEY, k=2)
     return rows.select(
         *PAIR_KEY,
