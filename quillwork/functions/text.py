@@ -26,11 +26,10 @@ def word_count(text) -> Column:
 
 def join_texts(*columns) -> Column:
     """Newline-joined texts; null if any part is null, so the row can be rejected."""
-    parts = [_column(c) for c in columns]
-    pieces = [parts[0]]
-    for part in parts[1:]:
-        pieces += [F.lit("\n"), part]
-    return F.concat(*pieces)
+    first, *rest = [_column(c) for c in columns]
+    if not rest:
+        return first
+    return F.concat(first, *[piece for part in rest for piece in (F.lit("\n"), part)])
 
 
 def strip(text) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import HashingTF, Normalizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,6 +45,12 @@ def centres_frame(spark: SparkSession, model: KMeansModel) -> DataFrame:
     return spark.createDataFrame(rows, "cluster int, center array<double>")
 
 
+def mean_vectors(df: DataFrame, by: str, vector_col: str = "embeddings") -> DataFrame:
+    """The mean vector of each group as ``center``, combined before the shuffle."""
+    means = df.groupBy(by).agg(Summarizer.mean(array_to_vector(vector_col)).alias("_mean"))
+    return means.select(by, vector_to_array("_mean").alias("center"))
+
+
 def with_nearest_centre(
     df: DataFrame, centres: list[list[float]], vector_col: str = "embeddings", out_col: str = "cluster"
 ) -> DataFrame:

@@ -80,4 +80,4 @@ def regroup_rows(df: DataFrame, key: list[str], position: str, value: str, n: in
     """
     member = F.col(position) % n
     places = [F.max(F.when(member == place, F.col(value))) for place in range(n)]
-    return df.groupBy(*key, F.floor(F.col(position) / n).cast("int").alias("at")).agg(F.array(*places).alias(out_col))
+    return df.groupBy(*key, F.expr(f"`{position}` div {int(n)}").cast("int").alias("at")).agg(F.array(*places).alias(out_col))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from string import Formatter
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,14 +18,14 @@ def generated_prompts(spark: SparkSession) -> DataFrame:
     One row per template carries its family's values as an array; exploding that
     array gives the product without a join.
     """
-    templates = []
-    for family, (values, family_templates) in CATALOGUE.items():
-        words = F.array(*[F.lit(value) for value in values])
-        for template in family_templates:
+    rows = []
+    for family, (words, templates) in CATALOGUE.items():
+        for template in templates:
             (head, _, _, _), *rest = Formatter().parse(template)
-            tail = rest[0][0] if rest else ""
-            templates.append(F.struct(F.lit(family), F.lit(head), F.lit(tail), words))
-    table = spark.range(0, 1, 1, 1).select(F.inline(F.array(*templates)).alias("source", "head", "tail", "words"))
+            rows.append({"source": family, "head": head, "tail": rest[0][0] if rest else "", "words": words})
+    schema = "array<struct<source: string, head: string, tail: string, words: array<string>>>"
+    literal = F.from_json(F.lit(json.dumps(rows)), schema)  # one constant, folded by the optimizer
+    table = spark.range(0, 1, 1, 1).select(F.inline(literal))
     return table.select("source", "head", "tail", F.explode("words").alias("word")).select(
         "source", F.concat("head", "word", "tail").alias("rewrite_prompt")
     )

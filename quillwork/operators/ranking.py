@@ -103,7 +103,7 @@ def with_runs(
     keys = [*partition, "_chunk"]
     rows = Window.partitionBy(*keys).orderBy(position)
     local = (
-        df.withColumn("_chunk", F.floor(F.col(position) / F.lit(chunk)).cast("bigint"))
+        df.withColumn("_chunk", F.expr(f"`{position}` div {int(chunk)}"))
         .withColumn("_row", F.row_number().over(rows))
         .withColumn("_new", (F.col("_row") == 1) | F.coalesce(F.col(value) != F.lag(value).over(rows), F.lit(True)))
         .withColumn("_run", F.sum(F.col("_new").cast("bigint")).over(rows))

@@ -58,8 +58,15 @@ class VersionedTables:
                 return revision
         return None
 
-    def write(self, df: DataFrame, kind: str, version: int | str, revise: bool = False) -> int:
-        """Write all splits of ``df``; refuse to replace unless a revision is asked for."""
+    def write(
+        self, df: DataFrame, kind: str, version: int | str, revise: bool = False, rebalance: bool = False
+    ) -> int:
+        """Write all splits of ``df``; refuse to replace unless a revision is asked for.
+
+        Every task writes one file per split it holds. ``rebalance`` shuffles once
+        before, so that a stage of many small tasks ends in files of even size: the
+        adaptive plan splits the large train split and merges the small ones.
+        """
         version = version_name(version)
         last = self.latest(kind, version)
         if last is not None and not revise:
@@ -67,7 +74,10 @@ class VersionedTables:
         taken = [int(r) for r in self._children(f"{self.root}/{kind}/version={version}", "revision")]
         revision = max(taken, default=-1) + 1
         folder = self._folder(kind, version, revision)
-        df.drop("version", "revision").write.mode("errorifexists").partitionBy("split").parquet(folder)
+        out = df.drop("version", "revision")
+        if rebalance:
+            out = out.hint("rebalance", "split")
+        out.write.mode("errorifexists").partitionBy("split").parquet(folder)
         return revision
 
     def _read(self, kind: str, folders: list[str], schema: T.StructType) -> DataFrame:

@@ -14,8 +14,18 @@ from quillwork.sources.corpora import raw_texts
 PAIR_KEY = ["conv_id", "turn"]
 
 
+# declared, so that no job has to open files to learn a schema
+SCHEMAS = {
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+    "benchmark": "item_id bigint, text string",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+    "labels": "doc_id bigint, quality int, toxic int",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def texts(spark: SparkSession, sf_dir: str, heavy: bool = False, row_key=("doc_id",)) -> DataFrame:
@@ -96,7 +106,7 @@ def topic_logits(text: str) -> dict[str, Column]:
 def vector_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``embeddings`` in groups of five: place 0 is the target, 1 to 4 the candidates."""
     return table(spark, sf_dir, "embeddings").select(
-        F.floor(F.col("vec_id") / 5).cast("bigint").alias("row_id"),
+        F.expr("vec_id div 5").alias("row_id"),
         (F.col("vec_id") % 5).cast("int").alias("place"),
         "vec_id", "embedding", "label",
     )

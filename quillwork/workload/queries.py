@@ -10,7 +10,7 @@ from quillwork.functions.arrays import regroup
 from quillwork.functions.chat import stack_messages
 from quillwork.functions.text import after_last, join_texts, or_empty, pollution_question, strip, word_count
 from quillwork.functions.vectors import cosine
-from quillwork.operators.clustering import with_nearest_centre
+from quillwork.operators.clustering import mean_vectors, with_nearest_centre
 from quillwork.operators.formatting import default_examples, formatted, with_marker
 from quillwork.operators.generation import attach_generations, generate_texts, regroup_rows, with_generation_input
 from quillwork.operators.labeling import (
@@ -347,19 +347,12 @@ def run_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def nearest_centre(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nearest of the mean vectors of the labels, which are a fixed small set."""
     vectors = table(spark, sf_dir, "embeddings")
-    means = (
-        vectors.select("label", F.posexplode("embedding").alias("at", "x"))
-        .groupBy("label", "at")
-        .agg(F.avg(F.col("x").cast("double")).alias("x"))
-        .groupBy("label")
-        .agg(F.array_sort(F.collect_list(F.struct("at", "x"))).alias("c"))
-        .select("label", F.transform("c", lambda e: e["x"]).alias("center"))
-        .orderBy("label")
-    )
-    if means.count() > 1000:
+    means = mean_vectors(vectors, "label", "embedding").orderBy("label").limit(1001).collect()
+    if len(means) > 1000:
         raise ValueError("labels are expected to be a small fixed set")
-    centres = [row["center"] for row in means.collect()]
-    return with_nearest_centre(vectors, centres, "embedding").select("vec_id", "label", "cluster")
+    return with_nearest_centre(vectors, [row["center"] for row in means], "embedding").select(
+        "vec_id", "label", "cluster"
+    )
 
 
 def prompt_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
