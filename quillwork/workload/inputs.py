@@ -88,17 +88,23 @@ def polluted_triples(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def topic_logits(text: str) -> dict[str, Column]:
-    """A scorer made of columns: punctuation and length features as logits."""
+def _marks(text: str, mark: str) -> Column:
+    return F.length(text) - F.length(F.replace(F.col(text), F.lit(mark), F.lit("")))
+
 
-    def marks(mark: str) -> Column:
-        return F.length(text) - F.length(F.replace(F.col(text), F.lit(mark), F.lit("")))
+def with_text_features(df: DataFrame, text_col: str, out_col: str) -> DataFrame:
+    """A text vector that SQL can express: length, words, commas, dots and one."""
+    features = [F.length(text_col), word_count(text_col), _marks(text_col, ","), _marks(text_col, "."), F.lit(1)]
+    return df.withColumn(out_col, F.array(*[f.cast("double") for f in features]))
 
-    words = word_count(text)
+
+def topic_logits(text: str, words: Column | None = None) -> dict[str, Column]:
+    """A scorer made of columns: punctuation and length features as logits."""
+    words = word_count(text) if words is None else words
     return {
-        "marketing": marks(",") * F.lit(4.0) / words,
+        "marketing": _marks(text, ",") * F.lit(4.0) / words,
         "tweet": F.lit(20.0) / words,
-        "news": marks(".") * F.lit(5.0) / words,
+        "news": _marks(text, ".") * F.lit(5.0) / words,
         "story": words / F.lit(200.0),
     }
 

@@ -293,6 +293,18 @@ TABLES = {
 }
 
 
+def _features(text: str) -> str:
+    return f"[length({text})::DOUBLE, {words(text)}, {marks(text, ',')}, {marks(text, '.')}, 1]"
+
+
+def _cosines(left: str, right: str) -> str:
+    cube = "list_transform({}, lambda x: x * x * x)"
+    return (
+        f"round(list_cosine_similarity({left}, {right}), 6) AS cosine,"
+        f" round(list_cosine_similarity({cube.format(left)}, {cube.format(right)}), 6) AS cosine_3"
+    )
+
+
 def query(select: str) -> str:
     """``select`` preceded by the shared tables it needs, in their order."""
     needed: set[str] = set()
@@ -349,6 +361,7 @@ _echo_input = _rewrite_input("rewrite_index", lit("Improve the text."), "origina
 _echo_index = pick(3, "template|0", "doc_id")
 _padded = "concat('  ', t.rewrite_prompt, ' ', chr(10), ' ')"
 _examples = [*four_turns("t.e0"), *four_turns("t.e1")]
+_few_shot_input = mistral([*MOCK, *_examples, *four_turns("t", "''")])
 _gemma_padded = gemma([*four_turns("t", _padded)])
 
 ORACLE_SQL = {
@@ -526,4 +539,37 @@ ORACLE_SQL = {
         "SELECT place, round(avg(cosine), 6) AS similarity, round(avg(cosine * cosine * cosine), 6) AS similarity_3"
         " FROM scores GROUP BY place"
     ),
+    "rewrite_job": query(
+        "SELECT doc_id, draw_no, split, most_likely_label, rewritten_text,"
+        f" CASE WHEN scored THEN round({_containment('rewrite_prompt', 'rewritten_text')}, 6) ELSE 0.0::DOUBLE END AS yes,"
+        f" scored FROM (SELECT *, concat(' -> ', w, ' words') AS rewritten_text,"
+        f" {uniform(digest(0, 'doc_id', 'draw_no'))} >= 0.5::DOUBLE AS scored FROM (SELECT *, {words('input')} AS w FROM ("
+        f"SELECT *, {_rewrite_input('rewrite_index', 'rewrite_prompt', 'original_text')} AS input FROM ("
+        f"SELECT *, {pick(3, 'template|0', 'doc_id', 'draw_no')} AS rewrite_index FROM ("
+        + _topics(
+            "(SELECT s.* FROM ("
+            + _sampled(
+                "(SELECT d.doc_id, d.draw_no, d.rewrite_prompt, t.original_text, t.split"
+                " FROM draws d JOIN texts t ON t.doc_id = d.doc_id)",
+                1500, 1, "doc_id, draw_no",
+            )
+            + ") s JOIN labels l ON l.doc_id = s.doc_id WHERE l.quality > 0.95)",
+            "original_text",
+        )
+        + ") WHERE most_likely_label IN ('tweet', 'news', 'story')))) WHERE w % 7 <> 0)"
+    ),
+    "evaluate_answers": query(
+        "SELECT split, round(avg(c), 6) AS similarity, round(avg(c * c * c), 6) AS similarity_3 FROM ("
+        f"SELECT split, list_cosine_similarity({_features('answer')}, {_features('rewrite_prompt')}) AS c FROM ("
+        f"SELECT split, rewrite_prompt, concat('Rewrite it, in ', {words('substr(x, 1, length(x) - 1)')}, ' words.') AS answer"
+        f" FROM (SELECT t.split, t.rewrite_prompt, {_few_shot_input} AS x FROM with_examples t"
+        " WHERE t.split = 'validation'))) GROUP BY split"
+    ),
+    "score_job": query(
+        "SELECT conv_id, turn, split, 40::INTEGER AS top_k, g::INTEGER AS at, predicted,"
+        f" {_cosines(_features('predicted'), _features('rewrite_prompt'))} FROM ("
+        "SELECT *, array_to_string(list_filter(string_split(input, ' '), lambda w, i: (i - 1) % 4 = g), ' ') AS predicted"
+        f" FROM (SELECT t.conv_id, t.turn, t.split, t.rewrite_prompt, {gemma(_chat(QUERY_INDEX, 'NULL'))} AS input,"
+        " unnest(range(4)) AS g FROM triples t))"
+    ),
 }

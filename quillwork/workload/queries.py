@@ -166,7 +166,7 @@ def select_for_rewriting(spark: SparkSession, sf_dir: str) -> DataFrame:
         inputs.texts(spark, sf_dir),
         ["doc_id"],
         lambda df: df.join(scores, "doc_id"),
-        inputs.topic_logits("original_text"),
+        inputs.topic_logits("original_text", F.col("original_length")),
         version=3,
         split="all",
         num_samples=200,
@@ -175,7 +175,9 @@ def select_for_rewriting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def topic_label(spark: SparkSession, sf_dir: str) -> DataFrame:
-    labelled = with_topic_label(inputs.texts(spark, sf_dir), inputs.topic_logits("original_text"))
+    labelled = with_topic_label(
+        inputs.texts(spark, sf_dir), inputs.topic_logits("original_text", F.col("original_length"))
+    )
     return labelled.select(
         "doc_id", "most_likely_label", *[F.round(n, 6).alias(n) for n in ("marketing", "tweet", "news", "story")]
     )
@@ -200,8 +202,8 @@ def batch_generate(spark: SparkSession, sf_dir: str) -> DataFrame:
         inputs.texts(spark, sf_dir, heavy=True).withColumn("rewrite_prompt", F.lit("Improve the text.")), ["doc_id"]
     )
     generated = generate_texts(
-        filled, FunctionScorer(_echoing_generator), "echo", {"output_len": 100, "top_k": 20}, echoes=True,
-        repeatable=True,
+        filled, FunctionScorer(_echoing_generator), "echo", {"output_len": 100, "top_k": 20}, batch_size=64,
+        echoes=True, repeatable=True,
     )
     return generated.select("doc_id", "rewritten_text", "model", "output_len", "top_k")
 
@@ -223,13 +225,15 @@ def rewrite_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     scores = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("double").alias("en"))
     selected = select_texts(
         templates, ["doc_id", "draw_no"], lambda df: df.join(scores, "doc_id"),
-        inputs.topic_logits("original_text"), version=1, split="all",
+        inputs.topic_logits("original_text", F.col("original_length")), version=1, split="all",
     )
     rewritten = rewrite_texts(
         selected, ["doc_id", "draw_no"], FunctionScorer(_echoing_generator), "echo", {"output_len": 100}, echoes=True
     )
     labelled = label_rewritten(rewritten, ["doc_id", "draw_no"])
-    return labelled.select("doc_id", "draw_no", "split", "rewritten_text", "yes", "scored")
+    return labelled.select(
+        "doc_id", "draw_no", "split", "most_likely_label", "rewritten_text", F.round("yes", 6).alias("yes"), "scored"
+    )
 
 
 # -- pollution --------------------------------------------------------------
@@ -454,19 +458,25 @@ def evaluate_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _echoing_decoder(batch: pd.DataFrame) -> pd.DataFrame:
-    """Returns what a decoder would: the input, then an answer."""
-    return pd.DataFrame({"decoded": batch["input"] + " Rewrite the text as a poem."})
+def _counting_decoder(batch: pd.DataFrame) -> pd.DataFrame:
+    """Returns what a decoder would: the input, then an answer that depends on it."""
+    words = batch["input"].str.count(" ") + 1
+    return pd.DataFrame({"decoded": batch["input"] + " Rewrite it, in " + words.astype(str) + " words. \n"})
 
 
 def evaluate_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return evaluate(
-        inputs.split_triples(spark, sf_dir), "mistral-message-stack", PAIR_KEY, FunctionScorer(_echoing_decoder),
-        num_examples=2, system="mock", open_answer=True,
+    """Few-shot inputs, generation, extraction, vectors and both means, as one job."""
+    summary = evaluate(
+        inputs.split_triples(spark, sf_dir), "mistral-message-stack", PAIR_KEY, FunctionScorer(_counting_decoder),
+        embed=inputs.with_text_features, num_examples=2, system="mock", open_answer=True,
+    )
+    return summary.select(
+        "split", F.round("similarity", 6).alias("similarity"), F.round("similarity_3", 6).alias("similarity_3")
     )
 
 
 def _four_candidates(batch: pd.DataFrame) -> pd.DataFrame:
+    """Every fourth word of the input, from four starts."""
     words = batch["input"].str.split(" ")
     return pd.DataFrame({"predicted": [[" ".join(w[i::4]) for i in range(4)] for w in words]})
 
@@ -475,10 +485,14 @@ def score_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Format without answer, generate four candidates, embed and score them."""
     scored = score_candidates(
         inputs.split_triples(spark, sf_dir), "gemma-it", PAIR_KEY, FunctionScorer(_four_candidates),
-        {"top_k": 40, "num_return_sequences": 4},
+        {"top_k": 40, "num_return_sequences": 4}, embed=inputs.with_text_features,
+    )
+    long = scored.select(
+        *PAIR_KEY, "split", "top_k", F.posexplode(F.arrays_zip("predicted", "cosine", "cosine_3")).alias("at", "s")
     )
-    return scored.select(*PAIR_KEY, "split", "top_k", F.posexplode(F.arrays_zip("cosine", "cosine_3")).alias("at", "s")).select(
-        *PAIR_KEY, "split", "top_k", "at", F.col("s.cosine").alias("cosine"), F.col("s.cosine_3").alias("cosine_3")
+    return long.select(
+        *PAIR_KEY, "split", "top_k", "at", F.col("s.predicted").alias("predicted"),
+        F.round("s.cosine", 6).alias("cosine"), F.round("s.cosine_3", 6).alias("cosine_3"),
     )
 
 
