@@ -41,11 +41,6 @@ def regroup(values, n: int) -> Column:
     return F.when(F.size(values) == 0, F.expr("slice(array(array(cast(null as string))), 1, 0)")).otherwise(cut)
 
 
-def array_mean(values) -> Column:
-    values = _column(values)
-    return F.aggregate(values, F.lit(0.0), lambda acc, x: acc + x) / F.size(values)
-
-
 def array_sum(values) -> Column:
     return F.aggregate(_column(values), F.lit(0.0), lambda acc, x: acc + x)
 

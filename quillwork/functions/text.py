@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from quillwork.fixed import INSTRUCTION_TEMPLATE, POLLUTION_QUESTION, WHITESPACE
+from quillwork.functions.arrays import let
 
 
 def _column(value) -> Column:
@@ -24,6 +25,14 @@ def word_count(text) -> Column:
     return (spaces + F.lit(1)).cast("int")
 
 
+def fewer_words(text, n: int) -> Column:
+    """``word_count(text) < n``, reading a long text only up to its n-th word."""
+    text = _column(text)
+    if n <= 1:
+        return F.lit(False)
+    return F.octet_length(F.substring_index(text, " ", n - 1)) == F.octet_length(text)
+
+
 def join_texts(*columns) -> Column:
     """Newline-joined texts; null if any part is null, so the row can be rejected."""
     first, *rest = [_column(c) for c in columns]
@@ -113,12 +122,22 @@ def pollution_question(prompt, text) -> Column:
     return fill(POLLUTION_QUESTION, prompt=prompt, text=text)
 
 
-def _tokens(text) -> Column:
-    """Lower-case tokens between spaces and newlines."""
-    return F.split(F.replace(F.lower(_column(text)), F.lit("\n"), F.lit(" ")), " ", -1)
+def token_containment(prompt, text) -> Column:
+    """Share of the distinct lower-case tokens of ``prompt`` found in ``text``.
 
+    Tokens lie between spaces and newlines. A token is looked for in the text with
+    a space at both ends, so a long text is searched and never cut into an array.
+    """
 
-def token_containment(prompt, text) -> Column:
-    """Share of the distinct lower-case tokens of ``prompt`` found in ``text``."""
-    wanted = F.array_distinct(_tokens(prompt))
-    return F.size(F.array_intersect(wanted, _tokens(text))) / F.size(wanted)
+    def flat(value) -> Column:
+        return F.replace(F.lower(_column(value)), F.lit("\n"), F.lit(" "))
+
+    wanted = F.array_distinct(F.split(flat(prompt), " ", -1))
+    return let(
+        F.struct(wanted.alias("wanted"), F.concat(F.lit(" "), flat(text), F.lit(" ")).alias("text")),
+        lambda v: F.when(
+            v["text"].isNotNull(),
+            F.size(F.filter(v["wanted"], lambda t: F.contains(v["text"], F.concat(F.lit(" "), t, F.lit(" ")))))
+            / F.size(v["wanted"]),
+        ),
+    )

@@ -21,6 +21,7 @@ from quillwork.fixed import (
 from quillwork.functions.arrays import let
 from quillwork.functions.text import drop_first_line, token_containment
 from quillwork.operators.sampling import bypassed
+from quillwork.operators.scorers import BatchScorer, score_column
 
 # -- language ---------------------------------------------------------------
 
@@ -118,33 +119,51 @@ PairScorer = Callable[[Column, Column], Column]
 def label_pollution(
     df: DataFrame,
     key: list[str],
-    scorer: PairScorer = token_containment,
+    scorer: PairScorer | BatchScorer = token_containment,
     skip_prob: float = SKIP_PROBABILITY,
     prob_original: float = REPAIR_THRESHOLD,
     seed=0,
+    batch_size: int = 64,
 ) -> DataFrame:
     """Adds ``yes``, the probability that the rewritten text gives its prompt away.
 
     A text above ``prob_original`` is scored again without its first line, and
     that text is kept if it scores lower. A share of the rows, chosen by key, is
-    not scored at all: those get 0 and ``scored`` is false. ``scorer`` takes
-    (prompt, text) columns and must give null for a null text: it is only handed
-    the texts whose score can matter.
+    not scored at all: those get 0 and ``scored`` is false. ``scorer`` is a
+    function of (prompt, text) columns, or a batch scorer that takes ``prompt`` and
+    ``text`` and returns ``p``; it must give null for a null text, as it is handed
+    only the texts whose score can matter.
     """
-    first = df.withColumn("scored", ~bypassed(skip_prob, *key, salt=seed)).withColumn(
-        "_p", scorer(F.col("rewrite_prompt"), F.when(F.col("scored"), F.col("rewritten_text")))
-    )
-    shorter = F.when(F.col("_p") > F.lit(prob_original), drop_first_line("rewritten_text"))
-    second = first.withColumn("_shorter", shorter).withColumn(
-        "_p_shorter", scorer(F.col("rewrite_prompt"), F.col("_shorter"))
-    )
-    repaired = F.coalesce((F.col("_p_shorter") < F.col("_p")) & (F.col("_p") > F.lit(prob_original)), F.lit(False))
-    yes = F.when(~F.col("scored"), F.lit(0.0)).when(repaired, F.col("_p_shorter")).otherwise(F.col("_p"))
-    return (
-        second.withColumn("yes", yes)
-        .withColumn("rewritten_text", F.when(repaired, F.col("_shorter")).otherwise(F.col("rewritten_text")))
-        .select(*df.columns, "yes", "scored")
-    )
+    threshold = F.lit(prob_original)
+    prompt = F.col("rewrite_prompt")
+    marked = df.withColumn("scored", ~bypassed(skip_prob, *key, salt=seed))
+    text = F.when(F.col("scored"), F.col("rewritten_text"))
+
+    def outcome(p: Column, shorter: Column, p_shorter: Column) -> Column:
+        repaired = F.coalesce((p_shorter < p) & (p > threshold), F.lit(False))
+        return F.struct(
+            F.when(p.isNull(), F.lit(0.0)).when(repaired, p_shorter).otherwise(p).alias("yes"),
+            F.when(repaired, shorter).alias("repaired"),
+        )
+
+    if hasattr(scorer, "setup"):
+        score = score_column(scorer, "struct<p: double>", batch_size, repeatable=False)
+        first = marked.withColumn("_p", score(prompt=prompt, text=text)["p"])
+        second = first.withColumn("_shorter", F.when(F.col("_p") > threshold, drop_first_line("rewritten_text")))
+        third = second.withColumn("_p_shorter", score(prompt=prompt, text="_shorter")["p"])
+        labelled = third.withColumn("_label", outcome(F.col("_p"), F.col("_shorter"), F.col("_p_shorter")))
+    else:
+        # bound step by step, so that a filter on the label does not repeat the scorer many times over
+        def rescored(p: Column) -> Column:
+            return let(
+                F.when(p > threshold, drop_first_line("rewritten_text")),
+                lambda shorter: let(scorer(prompt, shorter), lambda p_shorter: outcome(p, shorter, p_shorter)),
+            )
+
+        labelled = marked.withColumn("_label", let(scorer(prompt, text), rescored))
+    return labelled.withColumns(
+        {"rewritten_text": F.coalesce(F.col("_label.repaired"), F.col("rewritten_text")), "yes": F.col("_label.yes")}
+    ).select(*[c for c in df.columns if c != "yes"], "yes", "scored")
 
 
 def unpolluted(df: DataFrame, threshold: float = POLLUTION_THRESHOLD) -> DataFrame:

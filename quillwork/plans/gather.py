@@ -11,7 +11,7 @@ from quillwork.operators.clustering import fit_clusters, with_cluster, with_text
 from quillwork.operators.labeling import with_topic_label
 from quillwork.operators.prompts import distinct_prompts, generated_prompts, with_prompt_metadata
 from quillwork.operators.sampling import draw_prompts, prompt_pool, split_of
-from quillwork.schemas import KEEP_TRIPLE, RAW_TEXTS, SPLITS, require
+from quillwork.schemas import KEEP_TRIPLE, RAW_TEXTS, SPLITS, keep, require
 from quillwork.sources.corpora import short_texts
 from quillwork.sources.versions import VersionedTables
 
@@ -47,7 +47,7 @@ def downloaded_texts(
     """Triples with a split, the metadata of their prompt and topic labels."""
     split = triples.withColumn("split", split_of(*key, seed=seed))
     joined = with_prompt_metadata(split, prompts, spread=key)
-    kept = joined.select(*dict.fromkeys([*key, *KEEP_TRIPLE, "split", "prompt_source", "prompt_cluster"]))
+    kept = keep(joined, dict.fromkeys([*key, *KEEP_TRIPLE, "split", "prompt_source", "prompt_cluster"]))
     return with_topic_label(kept, logits)
 
 

@@ -8,27 +8,28 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillwork.fixed import CORPORA, MAX_WORDS
-from quillwork.functions.text import join_texts, word_count
+from quillwork.functions.text import fewer_words, join_texts, word_count
 
 
 def raw_texts(
-    df: DataFrame, key_columns: str | list[str], source: Column, split: Column, corpus: Column, row_key=()
+    df: DataFrame, key_columns: str | list[str], source: Column, split: Column, corpus: Column, row_key=(),
+    max_words: int | None = None,
 ) -> DataFrame:
     """One corpus frame as raw_texts: the key column, or several joined by newlines.
 
     Rows whose text (or a part of it) is null are rejected here; ``rejected_texts``
-    counts them. ``row_key`` columns are carried along.
+    counts them. ``row_key`` columns are carried along. With ``max_words`` only
+    shorter texts are kept, and words are counted in those alone.
     """
     columns = [key_columns] if isinstance(key_columns, str) else list(key_columns)
     text = join_texts(*columns)
-    return (
-        df.select(
-            *row_key,
-            text.alias("original_text"), source.alias("source"), split.alias("split"), corpus.alias("corpus"),
-        )
-        .where(F.col("original_text").isNotNull())
-        .withColumn("original_length", word_count("original_text"))
-        .select(*row_key, "original_text", "source", "split", "original_length", "corpus")
+    named = df.select(
+        *row_key, text.alias("original_text"), source.alias("source"), split.alias("split"), corpus.alias("corpus")
+    ).where(F.col("original_text").isNotNull())
+    if max_words is not None:
+        named = named.where(fewer_words("original_text", max_words))
+    return named.withColumn("original_length", word_count("original_text")).select(
+        *row_key, "original_text", "source", "split", "original_length", "corpus"
     )
 
 
@@ -49,6 +50,7 @@ def read_text_corpus(
     data_files: Mapping[str, str | list[str]] | None = None,
     file_format: str = "parquet",
     corpus: str | None = None,
+    max_words: int | None = None,
     **options: str,
 ) -> DataFrame:
     """Read the kept splits of a corpus.
@@ -69,7 +71,9 @@ def read_text_corpus(
             raise ValueError("give path or data_files")
         frame = spark.read.format(file_format).options(**options).load(where)
         frames.append(
-            raw_texts(frame, key_column, F.lit(dataset_name), F.lit(split), F.lit(corpus or dataset_name))
+            raw_texts(
+                frame, key_column, F.lit(dataset_name), F.lit(split), F.lit(corpus or dataset_name), max_words=max_words
+            )
         )
     union = frames[0]
     for frame in frames[1:]:
@@ -77,11 +81,14 @@ def read_text_corpus(
     return union
 
 
-def read_known_corpora(spark: SparkSession, root: str, file_format: str = "parquet") -> list[DataFrame]:
-    """The eight known corpora, each read from ``root/<corpus>/<split>``."""
+def read_known_corpora(
+    spark: SparkSession, root: str, file_format: str = "parquet", max_words: int | None = MAX_WORDS
+) -> list[DataFrame]:
+    """The eight known corpora, short texts only, each read from ``root/<corpus>/<split>``."""
     return [
         read_text_corpus(
-            spark, dataset_name, keys, path=f"{root}/{corpus}", splits=splits, file_format=file_format, corpus=corpus
+            spark, dataset_name, keys, path=f"{root}/{corpus}", splits=splits, file_format=file_format, corpus=corpus,
+            max_words=max_words,
         )
         for corpus, dataset_name, keys, splits in CORPORA
     ]

@@ -28,12 +28,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def texts(spark: SparkSession, sf_dir: str, heavy: bool = False, row_key=("doc_id",)) -> DataFrame:
+def texts(
+    spark: SparkSession, sf_dir: str, heavy: bool = False, row_key=("doc_id",), max_words: int | None = None
+) -> DataFrame:
     """``documents`` as raw_texts, keyed by doc_id; spread out first for ``heavy`` work per row."""
     documents = table(spark, sf_dir, "documents")
     if heavy:
         documents = widen(documents, "doc_id")
-    return raw_texts(documents, "text", F.col("source"), split_of("doc_id"), F.lit("documents"), row_key=row_key)
+    return raw_texts(
+        documents, "text", F.col("source"), split_of("doc_id"), F.lit("documents"), row_key=row_key, max_words=max_words
+    )
 
 
 def benchmark_prompts(spark: SparkSession, sf_dir: str, source: str = "benchmark") -> DataFrame:

@@ -6,6 +6,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillwork.fixed import MAX_WORDS
 from quillwork.functions.arrays import regroup
 from quillwork.functions.chat import stack_messages
 from quillwork.functions.text import after_last, join_texts, or_empty, pollution_question, strip, word_count
@@ -40,7 +41,7 @@ from quillwork.plans.preference import (
 from quillwork.plans.rewrite import gather_rewritten, label_rewritten, rewrite_texts, select_texts
 from quillwork.schemas import GATHERED
 from quillwork.session import materialise, new_folder
-from quillwork.sources.corpora import read_text_corpus, short_texts
+from quillwork.sources.corpora import read_text_corpus
 from quillwork.sources.tables import read_csv_sources
 from quillwork.sources.versions import VersionedTables
 from quillwork.workload import inputs
@@ -50,12 +51,14 @@ from quillwork.workload.inputs import PAIR_KEY, table
 
 
 def gather_short_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return short_texts(inputs.texts(spark, sf_dir))
+    return inputs.texts(spark, sf_dir, max_words=MAX_WORDS)
 
 
 def corpus_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = {"train": f"{sf_dir}/documents.parquet", "test": f"{sf_dir}/benchmark.parquet"}
-    corpus = read_text_corpus(spark, "given/texts", "text", splits=["train", "test"], data_files=files, corpus="given")
+    corpus = read_text_corpus(
+        spark, "given/texts", "text", splits=["train", "test"], data_files=files, corpus="given", max_words=MAX_WORDS
+    )
     pages = read_text_corpus(
         spark, "given/pages", ["url", "html"], data_files={"train": f"{sf_dir}/pages.parquet"}, corpus="pages"
     )

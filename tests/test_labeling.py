@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from quillwork.operators import labeling as L
 from quillwork.operators.generation import attach_generations, generate_texts, non_empty, stamp
 from quillwork.operators.sampling import bypassed
-from quillwork.operators.scorers import FunctionScorer, score_column, with_scores
+from quillwork.operators.scorers import FunctionScorer, with_scores
 
 
 def test_thresholds_are_strict(spark):
@@ -80,11 +80,12 @@ def test_batch_scorer_can_label_pollution(spark):
         text = batch["text"]
         return pd.DataFrame({"p": [None if t is None else t.count("x") / max(len(t), 1) for t in text]})
 
-    score = score_column(FunctionScorer(share_of_x), "struct<p: double>")
     frame = spark.createDataFrame([(1, "p", "xxx\nxy"), (2, "p", "y")], "id int, rewrite_prompt string, rewritten_text string")
     got = {
         r["id"]: (r["rewritten_text"], r["yes"])
-        for r in L.label_pollution(frame, ["id"], lambda p, t: score(prompt=p, text=t)["p"], 0.0, prob_original=0.6).collect()
+        for r in L.unpolluted(
+            L.label_pollution(frame, ["id"], FunctionScorer(share_of_x), 0.0, prob_original=0.6), 0.51
+        ).collect()
     }
     assert got == {1: ("xy", 0.5), 2: ("y", 0.0)}
 

@@ -16,6 +16,13 @@ def test_word_count_cuts_at_single_spaces(spark, body):
     assert values(spark, [(body,)], "t string", T.word_count("t")) == [(len(body.split(" ")),)]
 
 
+@pytest.mark.parametrize("n", [0, 1, 2, 3, 4, 5])
+def test_fewer_words_is_the_strict_count(spark, n):
+    bodies = ["", " ", "a", "a b", "a  b", "a b c", "a\nb c d", "é é é é"]
+    got = values(spark, [(b,) for b in bodies], "t string", T.fewer_words("t", n))
+    assert got == [(len(b.split(" ")) < n,) for b in bodies]
+
+
 def test_whitespace_is_what_unicode_strip_removes():
     assert set(WHITESPACE) == {chr(c) for c in range(sys.maxunicode + 1) if chr(c).isspace()}
 
