@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from quillwork.llm import mixing
+from quillwork.llm import mixing, simhash
 
 QUERIES = {
     "op3_source_mix": mixing.op3_source_mix,
+    "op9_simhash": simhash.op9_simhash,
 }
 ORACLE_SQL = {
     "op3_source_mix": mixing.ORACLE_SQL,
