@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from quillwork.llm import mixing, simhash
+from quillwork.llm import decontamination, mixing, simhash
 
 QUERIES = {
     "op3_source_mix": mixing.op3_source_mix,
+    "op6_decontamination": decontamination.op6_decontamination,
     "op9_simhash": simhash.op9_simhash,
 }
 ORACLE_SQL = {
