@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from quillwork.llm import decontamination, mixing, simhash
+from quillwork.llm import decontamination, mixing, personal_data, simhash
 
 QUERIES = {
     "op3_source_mix": mixing.op3_source_mix,
     "op6_decontamination": decontamination.op6_decontamination,
+    "op7_personal_data": personal_data.op7_personal_data,
     "op9_simhash": simhash.op9_simhash,
 }
 ORACLE_SQL = {
