@@ -93,30 +93,27 @@ def tile_links(a: np.ndarray, b: np.ndarray, radius: int, same: bool) -> tuple[n
 
     Links within a crowd are as many as its size squared; a forest has the same components.
     """
-    left, right = [], []
+    shift = 0 if same else len(a)
+    label = np.arange(shift + len(b))
     for begin in range(0, len(a), 256):
-        near = np.bitwise_count(a[begin : begin + 256, None] ^ b[None, :]) <= radius
-        i, j = np.nonzero(near)
-        if same:
-            i, j = i[i + begin < j], j[i + begin < j]
-        left.append(i + begin)
-        right.append(j)
-    i, j = np.concatenate(left), np.concatenate(right)
-    nodes, places = np.unique(np.concatenate([a[i], b[j]]).view(np.int64), return_inverse=True)
-    i, j = places[: len(i)], places[len(i) :]
-    label = np.arange(len(nodes))
-    while True:
-        low = np.minimum(label[i], label[j])
-        new = label.copy()
-        np.minimum.at(new, i, low)
-        np.minimum.at(new, j, low)
-        np.minimum.at(new, label, new)
-        new = new[new]
-        if np.array_equal(new, label):
-            break
-        label = new
-    rest = np.flatnonzero(label != np.arange(len(nodes)))
-    return nodes[rest], nodes[label[rest]]
+        i, j = np.nonzero(np.bitwise_count(a[begin : begin + 256, None] ^ b[None, :]) <= radius)
+        # only links between sets that are still apart, each pair of sets once
+        x, y = label[i + begin], label[j + shift]
+        apart = np.unique((np.minimum(x, y) * len(label) + np.maximum(x, y))[x != y])
+        while len(apart):
+            low, high = apart // len(label), apart % len(label)
+            root = np.arange(len(label))
+            np.minimum.at(root, high, low)
+            while not np.array_equal(root, root[root]):
+                root = root[root]
+            label = root[label]
+            x, y = root[low], root[high]
+            apart = np.unique((np.minimum(x, y) * len(label) + np.maximum(x, y))[x != y])
+    nodes = (a if same else np.concatenate([a, b])).view(np.int64)
+    low = np.full(len(label), np.iinfo(np.int64).max)
+    np.minimum.at(low, label, nodes)
+    rest = np.flatnonzero(low[label] != nodes)
+    return nodes[rest], low[label[rest]]
 
 
 def near_links(distinct: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> DataFrame:
