@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from quillwork.llm import decontamination, mixing, personal_data, simhash
+from quillwork.llm import decontamination, mixing, personal_data, simhash, toxicity
 
 QUERIES = {
     "op3_source_mix": mixing.op3_source_mix,
     "op6_decontamination": decontamination.op6_decontamination,
     "op7_personal_data": personal_data.op7_personal_data,
+    "op8_toxicity": toxicity.op8_toxicity,
     "op9_simhash": simhash.op9_simhash,
 }
 ORACLE_SQL = {

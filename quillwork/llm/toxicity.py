@@ -9,7 +9,7 @@ machine is trained on labelled sentences, whose witness is chosen anew each roun
 
 In the landmarks' span the decision is linear in the subsequences, so a trained
 machine is one table of their weights, and scoring a word is a few look-ups. A document's score is a
-logistic fit, on documents that trained nothing, of its worst units, their number and their share.
+logistic fit, on documents that trained nothing, of its two worst units and the number of clear ones.
 
 Defined results: null and blank texts have no units and get the score of that;
 without labels of both kinds every score is the share of toxic labels (0 without any); equal
@@ -21,6 +21,7 @@ from __future__ import annotations
 import hashlib
 import itertools
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -32,15 +33,17 @@ from pyspark.sql import functions as F
 from quillwork.llm.common import held_out, table
 
 #: Most documents that landmarks and machine, and that the logistic fit, learn from; most sentences.
-LEARN_DOCS = 8000
+LEARN_DOCS = 12_000
 FIT_DOCS = 8000
-SENTENCES = 16_000
-LANDMARKS = 384
+SENTENCES = 8000
+#: Clean units that a round adds.
+HARD = 4000
+LANDMARKS = 600
 #: Root of twice the log likelihood ratio above which a unit is taken to tell toxic from clean.
 SURE = 5.0
 #: Units that stand apart or are common, told to the driver at most.
 TOLD = 3000
-ROUNDS = 3
+ROUNDS = 4
 GAP = 0.6
 STEPS = [(j, k) for k in range(2, 5) for j in range(1, k)]
 END, BEGIN, SKIP = 61, 62, 63
@@ -48,6 +51,8 @@ END, BEGIN, SKIP = 61, 62, 63
 PIECE, OVERLAP = 48, 8
 CACHED = 400_000
 CUT = 0.7
+#: Decisions beyond this, either way, tell no more; and where a unit is clearly toxic.
+LEVEL, CLEAR = 1.1, 0.8
 STEMS = (4, 5, 6)
 
 SYMBOL = np.full(128, SKIP, np.uint8)
@@ -98,6 +103,7 @@ class Machine:
 
     def __init__(self, landmarks: list[tuple[str, bool]]):
         """Landmarks are (unit, whether its end counts)."""
+        landmarks = sorted(landmarks, key=lambda mark: not mark[1])
         whole, parts = [u for u, e in landmarks if e], [u for u, e in landmarks if not e]
         groups = [(u, e) for u, e in ((whole, True), (parts, False)) if u]
         found = [(n + off, c, w) for off, (u, e) in zip(itertools.accumulate([0] + [len(u) for u, _ in groups]), groups) for n, c, w in subsequences(u, e)]
@@ -127,7 +133,7 @@ class Machine:
                 np.add.at(out, unit[known] + begin, weight * basis[column[known]])
         return out / scale(units)[:, None]
 
-    def train(self, x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-3) -> None:
+    def train(self, x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-4) -> None:
         """Squared hinge loss by Newton steps over the rows that are not yet beyond their margin."""
         x = np.hstack([x, np.ones((len(x), 1))])
         w = np.zeros(x.shape[1])
@@ -180,8 +186,8 @@ class Toxicity:
     share: float = 0.0
 
     def evidence(self, texts: list[str]) -> np.ndarray:
-        """By text: worst and third worst unit, number of toxic units, their share, and whether there is a unit."""
-        rows = np.zeros((len(texts), 5))
+        """By text: second worst and worst unit, number of clearly toxic units, and whether there is a unit."""
+        rows = np.zeros((len(texts), 4))
         cache = self.__dict__.setdefault("cache", {})
         for k, text in enumerate(texts):
             units = units_of(text)
@@ -195,9 +201,8 @@ class Toxicity:
                 part = new[begin : begin + 100_000]
                 cache.update(zip(part, self.machine.decide(part).tolist()))
             f = np.fromiter(map(cache.__getitem__, units), np.float64, count=len(units))
-            top = np.sort(np.partition(f, -3)[-3:]) if len(f) > 3 else np.sort(np.append(f, [-1.5] * (3 - len(f))))
-            n = int((f > 0).sum())
-            rows[k] = np.clip(top[-1], -1.5, 1.5) + 1.5, np.clip(top[0], -1.5, 1.5) + 1.5, np.log1p(n), np.log((n + 0.3) / (len(f) + 30)) + 5, 1
+            top = np.sort(np.append(f, [-LEVEL] * 2) if len(f) < 2 else np.partition(f, -2)[-2:])[-2:]
+            rows[k] = *(np.clip(top, -LEVEL, LEVEL) + LEVEL), np.log1p((f > CLEAR).sum()), 1
         return rows
 
     def score(self, texts: list[str]) -> np.ndarray:
@@ -227,6 +232,14 @@ def _unit_rows(batches):
             yield pd.DataFrame({"unit": [*units, *stems], "stem": [False] * len(units) + [True] * len(stems), "toxic": int(toxic)})
 
 
+def _decided(machine: Machine):
+    def run(batches):
+        for batch in batches:
+            yield batch.assign(f=machine.decide(batch["unit"].tolist()))
+
+    return run
+
+
 def _clean(unit: str) -> str:
     return unit if unit.isalnum() else "".join(c for c in unit if c.isalnum() or ord(c) >= 128)
 
@@ -241,20 +254,21 @@ def sentences_of(text: str, most: int = 40) -> Iterator[list[str]]:
 def fit(labelled: DataFrame, learn_docs: int = LEARN_DOCS, fit_docs: int = FIT_DOCS, n_landmarks: int = LANDMARKS) -> Toxicity:
     """Learn from ``labelled`` (text, toxic), at most ``learn_docs`` and ``fit_docs`` of them, the first in a hash's order.
 
-    Half of what the machine learns from is toxic if there is as much; the logistic fit sees labels as they fall.
+    A third of what the machine learns from is toxic if there is as much; the logistic fit sees labels as they fall.
     """
     rows = labelled.where("text IS NOT NULL AND toxic IN (0, 1)").select("text", "toxic", F.md5(F.concat(F.lit("toxicity|"), "text")).alias("hash"))
     first = rows.where(F.substring("hash", 1, 1).isin(*"02468ace"))
     parallel = max(2, labelled.sparkSession.sparkContext.defaultParallelism)
     learn = (
-        first.where("toxic = 1").orderBy("hash").limit(learn_docs // 2)
-        .unionByName(first.where("toxic = 0").orderBy("hash").limit(learn_docs // 2))
+        first.where("toxic = 1").orderBy("hash").limit(learn_docs // 3)
+        .unionByName(first.where("toxic = 0").orderBy("hash").limit(learn_docs - learn_docs // 3))
+        .dropDuplicates(["hash"])
         .repartition(parallel)
         .cache()
     )
     share = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
     whole = sum(share.values())
-    none = Toxicity(None, np.zeros(6), share.get(1, 0) / whole if whole else 0.0)
+    none = Toxicity(None, np.zeros(5), share.get(1, 0) / whole if whole else 0.0)
     n = {r["toxic"]: r["count"] for r in learn.groupBy("toxic").count().collect()}
     if min(n.get(0, 0), n.get(1, 0)) == 0:
         return none
@@ -273,9 +287,8 @@ def fit(labelled: DataFrame, learn_docs: int = LEARN_DOCS, fit_docs: int = FIT_D
     sure = told[told["apart"] > SURE] if (told["apart"] > SURE).any() else told[told["apart"] > SURE / 2]
     if len(sure) == 0 or len(common) == 0:
         return none
-    marks = list(dict.fromkeys([(u, not s) for u, s in zip(sure["unit"], sure["stem"])]))[: n_landmarks // 2]
-    marks += [(u, True) for u in common["unit"] if (u, True) not in marks][: n_landmarks - len(marks)]
-    marks.sort(key=lambda m: not m[1])
+    marks = list(dict.fromkeys([(u, not s) for u, s in zip(sure["unit"], sure["stem"])]))[: n_landmarks // 3]
+    marks += [(u, True) for u in common["unit"] if (u, True) not in marks][: n_landmarks // 3]
     machine = Machine(marks)
     weight = {(u, s): a for u, s, a in zip(sure["unit"], sure["stem"], sure["apart"])}
 
@@ -284,42 +297,40 @@ def fit(labelled: DataFrame, learn_docs: int = LEARN_DOCS, fit_docs: int = FIT_D
 
     def sentence_rows(batches):
         for batch in batches:
-            for text, toxic in zip(batch["text"], batch["toxic"]):
-                found = [s for s in sentences_of(text) if not toxic or any(told_by(u) > 0 for u in s)]
+            for text in batch["text"]:
+                found = [s for s in sentences_of(text) if any(told_by(u) > 0 for u in s)]
                 if found:
                     order = [hashlib.md5("\n".join(s).encode("utf-8", "surrogatepass")).hexdigest() for s in found]
-                    yield pd.DataFrame({"units": found, "toxic": int(toxic), "order": order})
+                    yield pd.DataFrame({"units": found, "order": order})
 
-    drawn = learn.select("text", "toxic").mapInPandas(sentence_rows, "units array<string>, toxic int, order string")
-    told_sentences = pd.concat([
-        drawn.where(F.col("toxic") == t).orderBy("order").limit(SENTENCES // 2).toPandas() for t in (1, 0)
-    ])
-    learn.unpersist()
-    bad = [list(u) for u, t in zip(told_sentences["units"], told_sentences["toxic"]) if t]
-    good = [list(u) for u, t in zip(told_sentences["units"], told_sentences["toxic"]) if not t]
-    clean = sorted(set(itertools.chain.from_iterable(good)))
-    clean_at = {u: k for k, u in enumerate(clean)}
-    seen = np.bincount([clean_at[u] for s in good for u in s], minlength=len(clean)).astype(float)
+    drawn = learn.where("toxic = 1").select("text", "toxic").mapInPandas(sentence_rows, "units array<string>, order string")
+    bad = [list(u) for u in drawn.orderBy("order").limit(SENTENCES).toPandas()["units"]]
+    # only units that tell can be witnesses, else common words of the same sentences would become toxic
+    bad = [[u for u in s if told_by(u) > 0] for s in bad]
     witness = [max(s, key=lambda u: (told_by(u), u)) for s in bad]
-    for turn in range(ROUNDS):
-        f = machine.decide(clean) if turn else seen
-        hard = np.argsort(-f, kind="stable")[:4000]
-        usual = np.argsort(-seen, kind="stable")[:4000]
-        against = sorted({*hard.tolist(), *usual.tolist()})
-        units = sorted(set(witness))
-        n_bad = {u: 0.0 for u in units}
-        for u in witness:
-            n_bad[u] += 1
-        up = np.sqrt([n_bad[u] for u in units])
-        down = np.sqrt(np.maximum(seen[against], 1))
-        x = machine.embed(units + [clean[k] for k in against])
+    clean = dict(zip(common["unit"], common["b"]))
+    seen = counts.where("NOT stem AND b > 0").where(F.col("apart") < SURE).select("unit", "b")
+    for turn in range(ROUNDS + 1):
+        n_bad = Counter(witness)
+        units, against = sorted(n_bad), sorted(clean)
+        up, down = np.sqrt([n_bad[u] for u in units]), np.sqrt([clean[u] for u in against])
         y = np.concatenate([np.ones(len(units)), -np.ones(len(against))])
-        machine.train(x, y, np.concatenate([up / up.sum(), down / down.sum()]))
-        scored = dict(zip(every := sorted({u for s in bad for u in s}), machine.decide(every).tolist())) if bad else {}
-        witness = [max(s, key=lambda u: (scored[u], u)) for s in bad]
+        machine.train(machine.embed(units + against), y, np.concatenate([up / up.sum(), down / down.sum()]))
+        if turn < ROUNDS:
+            # the worst units of all clean sentences: they are trained against, and some become landmarks
+            hard = seen.mapInPandas(_decided(machine), "unit string, b double, f double").orderBy(F.desc("f"), "unit").limit(HARD).toPandas()
+            clean.update(zip(hard["unit"], hard["b"]))
+            if turn == 0:
+                marks += [(u, True) for u in hard["unit"] if (u, True) not in marks][: n_landmarks - len(marks)]
+                machine = Machine(marks)
+            else:
+                every = sorted({u for s in bad for u in s})
+                scored = dict(zip(every, machine.decide(every).tolist()))
+                witness = [max(s, key=lambda u: (scored[u], u)) for s in bad]
+    learn.unpersist()
     counts.unpersist()
     machine.vectors = machine.whiten = machine.column = None  # the table is all that scoring needs
-    model = Toxicity(machine, np.zeros(6), none.share)
+    model = Toxicity(machine, np.zeros(5), none.share)
 
     def evidence_rows(batches):
         for batch in batches:
