@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quillwork.llm import decontamination, mixing, personal_data, simhash, toxicity
+from quillwork.llm import chat_masks, decontamination, mixing, personal_data, simhash, toxicity
 
 QUERIES = {
     "op3_source_mix": mixing.op3_source_mix,
@@ -10,6 +10,7 @@ QUERIES = {
     "op7_personal_data": personal_data.op7_personal_data,
     "op8_toxicity": toxicity.op8_toxicity,
     "op9_simhash": simhash.op9_simhash,
+    "op10_chat_masks": chat_masks.op10_chat_masks,
 }
 ORACLE_SQL = {
     "op3_source_mix": mixing.ORACLE_SQL,
