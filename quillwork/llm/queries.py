@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from quillwork.llm import chat_masks, decontamination, mixing, personal_data, simhash, toxicity
+from quillwork.llm import chat_masks, decontamination, language, mixing, personal_data, simhash, toxicity
 
 QUERIES = {
+    "op1_language": language.op1_language,
     "op3_source_mix": mixing.op3_source_mix,
     "op6_decontamination": decontamination.op6_decontamination,
     "op7_personal_data": personal_data.op7_personal_data,
