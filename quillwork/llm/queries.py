@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from quillwork.llm import chat_masks, decontamination, language, mixing, personal_data, simhash, toxicity
+from quillwork.llm import chat_masks, decontamination, hamming_search, language, mixing, personal_data, simhash, toxicity
 
 QUERIES = {
     "op1_language": language.op1_language,
     "op3_source_mix": mixing.op3_source_mix,
+    "op5_hamming_search": hamming_search.op5_hamming_search,
     "op6_decontamination": decontamination.op6_decontamination,
     "op7_personal_data": personal_data.op7_personal_data,
     "op8_toxicity": toxicity.op8_toxicity,
@@ -15,4 +16,5 @@ QUERIES = {
 }
 ORACLE_SQL = {
     "op3_source_mix": mixing.ORACLE_SQL,
+    "op5_hamming_search": hamming_search.ORACLE_SQL,
 }
