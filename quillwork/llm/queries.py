@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from quillwork.llm import chat_masks, decontamination, hamming_search, language, mixing, personal_data, simhash, toxicity
+from quillwork.llm import chat_masks, decontamination, hamming_search, language, licenses, mixing, personal_data, simhash, toxicity
 
 QUERIES = {
     "op1_language": language.op1_language,
     "op3_source_mix": mixing.op3_source_mix,
+    "op4_license_scan": licenses.op4_license_scan,
     "op5_hamming_search": hamming_search.op5_hamming_search,
     "op6_decontamination": decontamination.op6_decontamination,
     "op7_personal_data": personal_data.op7_personal_data,
