@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from quillwork.llm import chat_masks, decontamination, hamming_search, language, licenses, mixing, personal_data, simhash, toxicity
+from quillwork.llm import chat_masks, decontamination, hamming_search, language, licenses, mixing, personal_data, quality, simhash, toxicity
 
 QUERIES = {
     "op1_language": language.op1_language,
+    "op2_quality": quality.op2_quality,
     "op3_source_mix": mixing.op3_source_mix,
     "op4_license_scan": licenses.op4_license_scan,
     "op5_hamming_search": hamming_search.op5_hamming_search,
