@@ -115,20 +115,6 @@ ORIGINAL_PREFIX = "Original Text:"
 REWRITTEN_PREFIX = "Re-written Text:"
 REPLY_TO_ORIGINAL = "Provide the new text and I will tell you what new element was added or change in tone was made to improve it - with no references to the original.  I will avoid mentioning names of characters.  It is crucial no person, place or thing from the original text be mentioned.  For example - I will not say things like 'change the puppet show into a book report' - I would just say 'improve this text into a book report'.  If the original text mentions a specific idea, person, place, or thing - I will not mention it in my answer.  For example if there is a 'dog' or 'office' in the original text - the word 'dog' or 'office' must not be in my response.  My answer will be a single sentence."
 
-# the literal few-shot pool, used where no table of examples is given
-DEFAULT_EXAMPLES = [
-    (
-        "William Fletcher (c. 1775–1839), Lord Byron's valet, was often the butt of humour by his famous master.",
-        "\nIn the annals of time, when tales danced upon the wind, a prophecy foretold of a servant's soul stained with the laughter of a master's jest, a tale etched upon the pages of history. In the realm of whispers and secrets, the name of William Fletcher resonated through the halls of fate, a servant etched upon the hearts of all, the object of both humor and admiration.",
-        "Transform the text into an ancient prophecy.",
-    ),
-    (
-        "The Nasura Pillar Site, registered as GcJh3 and also known as Namoratunga II, is an archaeological site on the west side of Lake Turkana in Kenya dating to the Pastoral Neolithic. Namoratunga means \"people of stone\" in the Turkana language. The site was originally believed to have been created around 300 BC, but recent excavations have yielded an older radiocarbon sample dating to 2398 +/- 44 years BC.",
-        "\nThe sun shone brightly upon the radiant soil of the Nasura Pillar Site, GcJh3 AKA Namoratunga II, a testament to the enduring spirit of the Pastoral Neolithic that once flourished at this ancient oasis. Towering pillars of stone pierced the sky, whispering tales of a distant era when the world stood on the cusp of change.\n\nThe wind whipped through the air, carrying with it the scent of earth and the echoes of the past",
-        "Style it as a day in the life of a superhero.",
-    ),
-]
-
 # ---------------------------------------------------------------------------
 # Thresholds and sizes
 # ---------------------------------------------------------------------------
@@ -139,7 +125,6 @@ CLUSTERS = 10
 CLUSTER_SEED = 42
 SAMPLE_PER_SPLIT = 1500
 SPLIT_SHARES = [("train", 0.8), ("validation", 0.1), ("test", 0.1)]
-TOPIC_LABELS = ["marketing", "tweet", "news", "story"]
 ALLOWED_LABELS = ["tweet", "news", "story"]
 ENGLISH_THRESHOLD = 0.95
 POLLUTION_THRESHOLD = 0.5

@@ -33,12 +33,12 @@ def element(values, index) -> Column:
 def regroup(values, n: int) -> Column:
     """Cut one flat array into arrays of ``n``, the last one padded with nulls."""
     values = _column(values)
-    groups = F.ceil(F.size(values) / F.lit(n)).cast("int")
+    groups = F.greatest(F.ceil(F.size(values) / F.lit(n)).cast("int"), F.lit(1))
     cut = F.transform(
         F.sequence(F.lit(0), groups - 1),
         lambda i: F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda j: F.get(values, i * n + j)),
     )
-    return F.when(F.size(values) == 0, F.expr("slice(array(array(cast(null as string))), 1, 0)")).otherwise(cut)
+    return F.when(F.size(values) == 0, F.slice(cut, 1, 0)).otherwise(cut)
 
 
 def array_sum(values) -> Column:
@@ -46,7 +46,7 @@ def array_sum(values) -> Column:
 
 
 def array_stddev_pop(values) -> Column:
-    """Population standard deviation (divides by n, not n - 1), in one pass."""
+    """Population standard deviation (divides by n, not n - 1), in one pass; null for an empty array."""
 
     def step(acc, x):
         n = acc["n"] + 1
@@ -54,4 +54,4 @@ def array_stddev_pop(values) -> Column:
         return F.struct(n.alias("n"), mean.alias("mean"), (acc["m2"] + (x - acc["mean"]) * (x - mean)).alias("m2"))
 
     start = F.struct(F.lit(0.0).alias("n"), F.lit(0.0).alias("mean"), F.lit(0.0).alias("m2"))
-    return F.aggregate(_column(values), start, step, lambda acc: F.sqrt(acc["m2"] / acc["n"]))
+    return F.aggregate(_column(values), start, step, lambda acc: F.sqrt(F.try_divide(acc["m2"], acc["n"])))

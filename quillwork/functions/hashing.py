@@ -15,9 +15,15 @@ _RANGE = float(16**_HEX_DIGITS)
 
 
 def digest(salt, *key) -> Column:
-    """MD5 of the key parts and the salt, as hex; order by it to shuffle."""
+    """MD5 of the salt and the key parts, as hex; order by it to shuffle.
+
+    Each part carries its length, and a null is no text, so different keys are
+    different inputs. The salt begins with the purpose of the draw ("split|42"):
+    draws for different purposes are independent, even with one seed and one key.
+    """
     parts = [F.col(k).cast("string") if isinstance(k, str) else k.cast("string") for k in key]
-    return F.md5(F.concat_ws("|", *parts, F.lit(str(salt))))
+    told = [F.coalesce(F.concat(F.length(p).cast("string"), F.lit(":"), p), F.lit("-")) for p in parts]
+    return F.md5(F.concat(F.lit(f"{salt}|"), *told))
 
 
 def uniform(hex_digest: Column, part: int = 0) -> Column:

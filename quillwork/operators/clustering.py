@@ -13,6 +13,9 @@ from quillwork.fixed import CLUSTER_SEED, CLUSTERS
 from quillwork.functions.vectors import nearest
 
 
+FIT_PARTITIONS = 64
+
+
 def with_text_vector(df: DataFrame, text_col: str, out_col: str = "embeddings", size: int = 256) -> DataFrame:
     """A unit-length vector of hashed token counts, built in the JVM.
 
@@ -28,8 +31,13 @@ def with_text_vector(df: DataFrame, text_col: str, out_col: str = "embeddings",
 def fit_clusters(
     df: DataFrame, vector_col: str = "embeddings", k: int = CLUSTERS, seed: int = CLUSTER_SEED
 ) -> KMeansModel:
-    """K-means over an array column; only k centres travel between rounds."""
-    vectors = df.select(array_to_vector(vector_col).alias("features"))
+    """K-means over an array column; only k centres travel between rounds.
+
+    The start draws from partitions and sums follow their order, so rows are dealt
+    to a fixed number of partitions by value and sorted: the same vectors give the same centres on any cluster.
+    """
+    dealt = df.select(vector_col).repartition(FIT_PARTITIONS, F.xxhash64(vector_col)).sortWithinPartitions(vector_col)
+    vectors = dealt.select(array_to_vector(vector_col).alias("features"))
     return KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster").fit(vectors)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillwork.fixed import DEFAULT_EXAMPLES, QUERY_TEMPLATES, SYSTEM_PROMPTS
+from quillwork.fixed import QUERY_TEMPLATES, SYSTEM_PROMPTS
 from quillwork.functions.chat import DIALECTS, STYLES, Style, base_text, chat_messages, render, stack_messages
 from quillwork.functions.text import up_to_last
 from quillwork.operators.sampling import choice
@@ -17,20 +17,6 @@ def style_of(name: str) -> Style:
     return STYLES[name]
 
 
-def default_examples() -> Column:
-    """The literal example pool as one array column."""
-    return F.array(
-        *[
-            F.struct(
-                F.lit(original).alias("original_text"),
-                F.lit(rewritten).alias("rewritten_text"),
-                F.lit(prompt).alias("rewrite_prompt"),
-            )
-            for original, rewritten, prompt in DEFAULT_EXAMPLES
-        ]
-    )
-
-
 def formatted(
     style: str,
     key: list[str],

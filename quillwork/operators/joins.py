@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quillwork.session import materialise
+
 
 @dataclass(frozen=True)
 class SizeBound:
@@ -91,8 +93,9 @@ def salted_join(big: DataFrame, lookup: DataFrame, on: list[str], spread: list[s
     """
     spark = big.sparkSession
     parts = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    counts = big.groupBy(*on).agg(F.count("*").alias("_n"))
-    total = big.agg(F.count("*").alias("n")).first()["n"]
+    # the counts of keys are written, so that ``big`` is read once for them and their total
+    counts = materialise(big.groupBy(*on).agg(F.count("*").alias("_n")), "counts")
+    total = counts.agg(F.sum("_n").alias("n")).first()["n"] or 0
     hot = counts.where(F.col("_n") * parts > F.lit(total)).select(
         *on, F.ceil(F.col("_n") * F.lit(2.0 * parts) / F.lit(max(total, 1))).cast("int").alias("_ways")
     )

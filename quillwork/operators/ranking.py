@@ -7,7 +7,9 @@ the buckets are stitched together from one summary row per bucket.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillwork.functions.hashing import bucket, digest
@@ -17,18 +19,25 @@ BUCKET_DIGITS = 4  # 16**4 = 65,536 buckets per group: the summary of a group st
 RUN_CHUNK = 1_000_000
 
 
+def same_key(columns: list[str]) -> Column:
+    """Null-safe equality of columns with those of the same names after ``_of_``."""
+    same = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in columns]
+    return reduce(Column.__and__, same)
+
+
 def with_group_index(
     df: DataFrame, groups: list[str], key: list[str], salt=0, index_col: str = "id", digits: int = BUCKET_DIGITS
 ) -> DataFrame:
     """0-based dense position of every row inside its group.
 
     The order is that of ``digest(key, salt)``, then ``key``; so it is the same on
-    every run and for every partitioning. ``key`` must tell rows of a group apart
-    and group columns must not be null. The digest's leading digits are the
+    every run and for every partitioning. ``key`` must tell rows of a group apart, or
+    rows that it does not tell apart must be equal; a null group is a group. The digest's leading digits are the
     bucket: buckets are equal in size, and ordered as the digests are. ``digits=0``
     gives the same positions from one window per group; only for a frame that has
     been measured to be small.
     """
+    salt = f"index|{salt}"
     if digits == 0:
         whole = Window.partitionBy(*groups).orderBy(digest(salt, *key), *key)
         return df.withColumn(index_col, (F.row_number().over(whole) - 1).cast("bigint"))
@@ -42,9 +51,9 @@ def with_group_index(
     inside = Window.partitionBy(*groups, "_bucket").orderBy("_digest", *key)
     return (
         keyed.withColumn("_inside", F.row_number().over(inside) - 1)
-        .join(offsets, [*groups, "_bucket"])
+        .join(offsets.withColumnsRenamed({c: f"_of_{c}" for c in [*groups, "_bucket"]}), same_key([*groups, "_bucket"]))
         .withColumn(index_col, (F.col("_before") + F.col("_inside")).cast("bigint"))
-        .drop("_digest", "_bucket", "_inside", "_before")
+        .select(*[c for c in df.columns if c != index_col], index_col)
     )
 
 
@@ -55,14 +64,13 @@ def sample_per_split(
 
     A shuffle by digest and a limit per split, in two passes. The first counts
     rows per (split, bucket), reading only the key; it finds the bucket in which
-    the n-th row of a split lies. The second keeps whole buckets before that one
-    and ranks rows in that one only. Rows that are not sampled are never shuffled,
-    and a large ``n`` is still spread over the buckets.
+    the n-th row of a split lies. The second keeps whole buckets before that one,
+    unshuffled, and ranks the rows of that one alone: few of them, whatever n is.
     """
     if n < 1:
         raise ValueError("n must be at least 1")
     wanted = df.where(F.col(split_col).isin(*splits))
-    keyed = wanted.withColumn("_digest", digest(seed, *key)).withColumn("_bucket", bucket(F.col("_digest"), digits))
+    keyed = wanted.withColumn("_digest", digest(f"sample|{seed}", *key)).withColumn("_bucket", bucket(F.col("_digest"), digits))
     so_far = Window.partitionBy(split_col).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
     cuts = (
         keyed.groupBy(split_col, "_bucket")
@@ -75,13 +83,10 @@ def sample_per_split(
     )
     # one row per split, so at most len(splits) rows are broadcast
     inside = Window.partitionBy(split_col, "_bucket").orderBy("_digest", *key)
-    return (
-        keyed.join(F.broadcast(cuts), split_col, "left")
-        .where(F.col("_cut").isNull() | (F.col("_bucket") <= F.col("_cut")))
-        .withColumn("_inside", F.row_number().over(inside))
-        .where(F.col("_cut").isNull() | (F.col("_bucket") < F.col("_cut")) | (F.col("_inside") <= F.col("_room")))
-        .select(*df.columns)
-    )
+    placed = keyed.join(F.broadcast(cuts), split_col, "left")
+    whole = placed.where(F.col("_cut").isNull() | (F.col("_bucket") < F.col("_cut")))
+    edge = placed.where(F.col("_bucket") == F.col("_cut")).withColumn("_inside", F.row_number().over(inside))
+    return whole.select(*df.columns).unionByName(edge.where(F.col("_inside") <= F.col("_room")).select(*df.columns))
 
 
 def with_runs(

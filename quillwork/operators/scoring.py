@@ -33,7 +33,7 @@ def candidate_summary(df: DataFrame, by: list[str]) -> DataFrame:
     combine before the shuffle.
     """
     return df.groupBy(*by).agg(
-        (F.sum(array_sum("cosine")) / F.sum(F.size("cosine"))).alias("cosine_avg"),
+        F.try_divide(F.sum(array_sum("cosine")), F.sum(F.size("cosine"))).alias("cosine_avg"),
         F.avg(array_stddev_pop("cosine")).alias("cosine_std"),
     )
 

@@ -12,8 +12,8 @@ from quillwork.operators.labeling import with_topic_label
 from quillwork.operators.prompts import distinct_prompts, generated_prompts, with_prompt_metadata
 from quillwork.operators.sampling import draw_prompts, prompt_pool, split_of
 from quillwork.schemas import KEEP_TRIPLE, RAW_TEXTS, SPLITS, keep, require
+from quillwork.session import materialise
 from quillwork.sources.corpora import short_texts
-from quillwork.sources.versions import VersionedTables
 
 
 def gather_texts(corpora: list[DataFrame], max_words: int = MAX_WORDS) -> DataFrame:
@@ -32,11 +32,11 @@ def row_counts(df: DataFrame, by: list[str]) -> DataFrame:
 def build_prompts(
     triples: DataFrame, k: int = CLUSTERS, seed: int = CLUSTER_SEED, with_vectors=with_text_vector
 ) -> tuple[DataFrame, KMeansModel]:
-    """Distinct prompts of the triples and the catalogue, with vectors and clusters."""
+    """Distinct prompts of the triples and the catalogue, with vectors and clusters; vectors are made once."""
     prompts = distinct_prompts(
         triples.select("source", "rewrite_prompt"), generated_prompts(triples.sparkSession)
     )
-    vectors = with_vectors(prompts, "rewrite_prompt")
+    vectors = materialise(with_vectors(prompts, "rewrite_prompt"), "vectors")
     model = fit_clusters(vectors, k=k, seed=seed)
     return with_cluster(vectors, model), model
 
@@ -58,7 +58,3 @@ def add_templates(
     """``k`` balanced prompts per text, with prompt metadata, known splits only."""
     known = texts.where(F.col("split").isin(*SPLITS))
     return draw_prompts(known, prompt_pool(prompts, keep_drawn_source), key, k, seed)
-
-
-def write_splits(df: DataFrame, tables: VersionedTables, kind: str, version, revise: bool = False) -> int:
-    return tables.write(df, kind, version, revise)

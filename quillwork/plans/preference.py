@@ -13,7 +13,7 @@ from quillwork.operators.clustering import with_text_vector
 from quillwork.operators.formatting import format_rows, formatted, style_of, with_marker
 from quillwork.operators.generation import generate_candidates
 from quillwork.operators.pairs import preference_pairs
-from quillwork.operators.ranking import sample_per_split
+from quillwork.operators.ranking import same_key, sample_per_split
 from quillwork.operators.sampling import attach_examples
 from quillwork.operators.scorers import BatchScorer, with_scores
 from quillwork.operators.scoring import similarity_summary, with_candidate_scores
@@ -43,7 +43,9 @@ def embed_candidates(df: DataFrame, key: list[str], embed: Embedder = with_text_
     flat = embed(df.select(*key, F.posexplode("predicted").alias("_at", "_text")), "_text", "_vector")
     lists = flat.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("_at", "_vector"))).alias("_list"))
     vectors = F.transform("_list", lambda e: e["_vector"])
-    return prompt.join(lists, key).withColumn("predicted_vectors", vectors).drop("_list")
+    none = F.slice(F.array("prompt_vector"), 1, 0)  # a row without candidates stays, with no vectors
+    met = prompt.join(lists.withColumnsRenamed({c: f"_of_{c}" for c in key}), same_key(key), "left")
+    return met.select(*prompt.columns, F.coalesce(vectors, none).alias("predicted_vectors"))
 
 
 def score_candidates(
@@ -139,8 +141,8 @@ def evaluate(
     prompt with it. ``generator`` returns the whole decoded text per input.
     """
     rows = df.where(F.col("split") == "validation")
-    if validation_size:
-        rows = sample_per_split(rows, validation_size, key, seed, ("validation",))
+    if validation_size is not None:
+        rows = rows.limit(0) if validation_size == 0 else sample_per_split(rows, validation_size, key, seed, ("validation",))
     examples = None
     if style_of(style).layout == "stack":
         pool = test_pool(df, key) if pool is None else pool

@@ -27,14 +27,6 @@ RAW_TEXTS = T.StructType(
     ]
 )
 
-PROMPTS = T.StructType(
-    [
-        T.StructField("source", T.StringType()),
-        T.StructField("rewrite_prompt", T.StringType()),
-        T.StructField("cluster", T.IntegerType()),
-    ]
-)
-
 GATHERED = T.StructType(
     [
         T.StructField("original_text", T.StringType()),

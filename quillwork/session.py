@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+_TEMPORARY: list[tempfile.TemporaryDirectory] = []
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, **conf: str) -> SparkSession:
@@ -30,18 +32,19 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, **conf: st
 def shared_folder(spark: SparkSession) -> str:
     """Folder for written intermediates, reachable by every executor.
 
-    It is the one the cluster names in ``spark.checkpoint.dir``. Only a local
-    session, where driver and executors share one machine, may fall back to a
-    temporary folder; it is remembered in the session so that one run uses one.
+    It is the one the cluster names in ``spark.checkpoint.dir``. Only a session with
+    no executors of its own (master ``local``) may do without: it gets a temporary
+    folder, remembered in the session and removed when the program ends.
     """
     root = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getConf().get(CHECKPOINT_CONF)
     if root:
         return root
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
-    root = tempfile.mkdtemp(prefix="quillwork-")
-    spark.conf.set(CHECKPOINT_CONF, root)
-    return root
+    folder = tempfile.TemporaryDirectory(prefix="quillwork-", ignore_cleanup_errors=True)
+    _TEMPORARY.append(folder)
+    spark.conf.set(CHECKPOINT_CONF, folder.name)
+    return folder.name
 
 
 def new_folder(spark: SparkSession, name: str) -> str:

@@ -107,7 +107,8 @@ class VersionedTables:
         Versions may hold different columns; the schema names those that are kept
         (union by name). With no version at all the frame is empty, not an error.
         """
-        folders = [self._folder(kind, v, self.latest(kind, v)) for v in self.versions(kind)]
+        newest = {v: self.latest(kind, v) for v in self._children(f"{self.root}/{kind}", "version")}
+        folders = [self._folder(kind, v, revision) for v, revision in newest.items() if revision is not None]
         return self._read(kind, folders, schema)
 
 

@@ -1,4 +1,4 @@
-"""The given tables, seen as the inputs of the jobs. No row is left out."""
+"""The given tables, seen as the inputs of the jobs."""
 
 from __future__ import annotations
 
@@ -113,6 +113,25 @@ def topic_logits(text: str, words: Column | None = None) -> dict[str, Column]:
     }
 
 
+# common words of the four languages of ``documents``
+COMMON_WORDS = {
+    "en": ["the", "and", "of", "to", "that", "is", "with", "was", "for"],
+    "de": ["der", "die", "und", "das", "den", "von", "ist", "nicht"],
+    "fr": ["le", "les", "et", "du", "dans", "est", "pour", "qui"],
+    "es": ["el", "los", "y", "que", "las", "por", "con", "del"],
+}
+
+
+def english_share(text_col: str) -> Column:
+    """A language scorer made of columns: the share of English among common words, 0 without any."""
+
+    def hits(words: list[str]) -> Column:
+        return F.size(F.filter(F.split(F.lower(text_col), " ", -1), lambda w: w.isin(*words)))
+
+    every = [w for words in COMMON_WORDS.values() for w in words]
+    return F.coalesce(F.try_divide(hits(COMMON_WORDS["en"]), hits(every)), F.lit(0.0))
+
+
 def vector_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``embeddings`` in groups of five: place 0 is the target, 1 to 4 the candidates."""
     return table(spark, sf_dir, "embeddings").select(
@@ -123,24 +142,31 @@ def vector_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per group: target vector and text, candidate vectors and texts in order."""
-    texts_ = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("vec_id"), "text", "lang", "source")
-    members = vector_groups(spark, sf_dir).join(texts_, "vec_id")
+    """One row per group: target vector and text, candidate vectors and texts in order.
+
+    Texts are made of the vectors' own rows, so every group with a target is there, also one without candidates.
+    """
+
+    def told(word: str) -> Column:
+        return F.concat(F.lit(f"{word} "), "vec_id", F.lit(" of label "), "label")
+
     is_target = F.col("place") == 0
-    listed = members.groupBy("row_id").agg(
+    listed = vector_groups(spark, sf_dir).groupBy("row_id").agg(
         F.array_sort(
-            F.collect_list(F.when(~is_target, F.struct("place", "text", "embedding")))
+            F.collect_list(F.when(~is_target, F.struct("place", told("Answer").alias("text"), "embedding")))
         ).alias("_members"),
-        F.max(F.when(is_target, F.struct("text", "lang", "source", "label", "embedding"))).alias("_target"),
+        F.max(
+            F.when(is_target, F.struct(told("Text").alias("text"), told("Rewritten").alias("rewritten"), "label", "embedding"))
+        ).alias("_target"),
     )
-    return listed.where(F.col("_target").isNotNull() & (F.size("_members") > 0)).select(
+    return listed.where(F.col("_target").isNotNull()).select(
         "row_id",
         split_of("row_id").alias("split"),
         F.concat(F.lit("v-"), F.col("_target.label") % 2 + 1).alias("version"),
         F.col("_target.text").alias("original_text"),
-        F.col("_target.lang").alias("rewritten_text"),
+        F.col("_target.rewritten").alias("rewritten_text"),
         F.concat(F.lit("Rewrite like group "), F.col("_target.label")).alias("rewrite_prompt"),
-        F.col("_target.source").alias("source"),
+        F.concat(F.lit("group-"), F.col("_target.label")).alias("source"),
         F.transform("_members", lambda m: m["text"]).alias("predicted"),
         F.transform("_members", lambda m: m["embedding"]).alias("predicted_vectors"),
         F.col("_target.embedding").alias("prompt_vector"),

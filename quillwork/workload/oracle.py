@@ -7,7 +7,6 @@ import re
 from quillwork.fixed import (
     BASE_MARKER,
     CATALOGUE,
-    DEFAULT_EXAMPLES,
     INSTRUCTION_TEMPLATE,
     MOCK_SYSTEM_REPLY,
     ORIGINAL_PREFIX,
@@ -20,6 +19,8 @@ from quillwork.fixed import (
     WHITESPACE,
 )
 
+from quillwork.workload.inputs import COMMON_WORDS
+
 # -- text pieces ------------------------------------------------------------
 
 
@@ -28,7 +29,9 @@ def lit(text: str) -> str:
 
 
 def digest(salt, *key: str) -> str:
-    return f"md5(concat_ws('|', {', '.join(key)}, {lit(str(salt))}))"
+    parts = [p for k in key for p in k.split(", ")]
+    told = [f"coalesce(length({p}::VARCHAR) || ':' || {p}::VARCHAR, '-')" for p in parts]
+    return f"md5(concat({lit(f'{salt}|')}, {', '.join(told)}))"
 
 
 def uniform(hex_digest: str, part: int = 0) -> str:
@@ -40,7 +43,7 @@ def pick(n, salt, *key: str, part: int = 0) -> str:
 
 
 def split_of(*key: str) -> str:
-    u = uniform(digest(42, *key))
+    u = uniform(digest("split|42", *key))
     return f"CASE WHEN {u} < 0.8::DOUBLE THEN 'train' WHEN {u} < 0.9::DOUBLE THEN 'validation' ELSE 'test' END"
 
 
@@ -152,16 +155,16 @@ def _catalogue() -> str:
 def _placed(prompts: str) -> str:
     return f"""
         SELECT p.source, p.rewrite_prompt, s.source_no, s.in_source,
-               row_number() OVER (PARTITION BY p.source ORDER BY {digest(0, 'p.rewrite_prompt')}, p.rewrite_prompt) - 1 AS place
+               row_number() OVER (PARTITION BY p.source ORDER BY {digest('index|0', 'p.rewrite_prompt')}, p.rewrite_prompt) - 1 AS place
         FROM {prompts} p JOIN (
             SELECT source, count(*) AS in_source,
-                   row_number() OVER (ORDER BY {digest(0, 'source')}, source) - 1 AS source_no
+                   row_number() OVER (ORDER BY {digest('index|0', 'source')}, source) - 1 AS source_no
             FROM {prompts} GROUP BY source) s USING (source)"""
 
 
 def _draws(rows: str, key: list[str], k: int, seed: int, placed: str) -> str:
     keys = ", ".join(key)
-    hashed = digest(seed, *key, "draw_no")
+    hashed = digest(f"draw|{seed}", *key, "draw_no")
     return f"""
         SELECT d.*, p.rewrite_prompt, p.source AS drawn_source FROM (
             SELECT *, {uniform(hashed, 1)} AS u_place,
@@ -207,11 +210,23 @@ def _containment(prompt: str, text: str) -> str:
 
 def _sampled(rows: str, n: int, seed: int, key: str) -> str:
     return (
-        f"SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY split ORDER BY {digest(seed, key)}, {key}) AS rn"
+        f"SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY split ORDER BY {digest(f'sample|{seed}', key)}, {key}) AS rn"
         f" FROM {rows}) WHERE rn <= {n}"
     )
 
 
+def _told(word: str, row: str) -> str:
+    return f"concat('{word} ', {row}.vec_id, ' of label ', {row}.label)"
+
+
+def _english(text: str) -> str:
+    """Share of English among the common words of four languages."""
+    def hits(listed: list[str]) -> str:
+        return f"len(list_filter(string_split(lower({text}), ' '), lambda w: w IN ({', '.join(map(lit, listed))})))"
+
+    return f"coalesce({hits(COMMON_WORDS['en'])} / nullif({hits([w for words in COMMON_WORDS.values() for w in words])}, 0), 0.0::DOUBLE)"
+
+
 TABLES = {
     "texts": f"""
         SELECT doc_id, text AS original_text, source, {split_of('doc_id')} AS split,
@@ -227,9 +242,10 @@ TABLES = {
     "placed": _placed("prompts"),
     "shared_placed": _placed("shared_prompts"),
     "turn_pairs": """
-        SELECT u.conv_id, u.turn, u.text AS original_text, a.text AS rewritten_text
-        FROM conversations u JOIN conversations a
-          ON a.conv_id = u.conv_id AND a.turn = u.turn + 1 AND u.role = 'user' AND a.role = 'assistant'""",
+        SELECT conv_id, turn, text AS original_text, next_text AS rewritten_text FROM (
+            SELECT *, lead(text) OVER w AS next_text, lead(role) OVER w AS next_role
+            FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn))
+        WHERE role = 'user' AND next_role = 'assistant'""",
     "pair_draws": _draws("turn_pairs", ["conv_id", "turn"], 1, 7, "placed"),
     "triples": f"""
         SELECT p.conv_id, p.turn, p.original_text, p.rewritten_text, d.rewrite_prompt, 'conversations' AS source,
@@ -242,7 +258,7 @@ TABLES = {
     "pollution_scores": f"""
         SELECT *, {_containment('rewrite_prompt', 'rewritten_text')} AS p,
                {_containment('rewrite_prompt', 'shorter')} AS p_shorter,
-               {uniform(digest(0, 'conv_id', 'turn'))} >= 0.25::DOUBLE AS scored
+               {uniform(digest('bypass|0', 'conv_id', 'turn'))} >= 0.25::DOUBLE AS scored
         FROM (SELECT *, CASE WHEN instr(rewritten_text, chr(10)) > 0
                              THEN substr(rewritten_text, instr(rewritten_text, chr(10)) + 1)
                              ELSE rewritten_text END AS shorter FROM polluted)""",
@@ -267,15 +283,16 @@ TABLES = {
                                       list_transform(t.v, lambda x: x * x * x)) AS cosine_3
         FROM members t JOIN members c ON c.row_id = t.row_id AND t.place = 0 AND c.place > 0""",
     "candidates": f"""
-        SELECT s.row_id, {split_of('s.row_id')} AS split, concat('v-', t.label % 2 + 1) AS version,
-               d.text AS original_text, d.lang AS rewritten_text, concat('Rewrite like group ', t.label) AS rewrite_prompt,
-               d.source, s.predicted, s.cosine
-        FROM (SELECT s.row_id, list(d.text ORDER BY s.place) AS predicted, list(s.cosine ORDER BY s.place) AS cosine
-              FROM scores s JOIN documents d ON d.doc_id = s.vec_id GROUP BY s.row_id) s
-        JOIN members t ON t.row_id = s.row_id AND t.place = 0
-        JOIN documents d ON d.doc_id = t.vec_id""",
+        SELECT t.row_id, {split_of('t.row_id')} AS split, concat('v-', t.label % 2 + 1) AS version,
+               {_told('Text', 't')} AS original_text, {_told('Rewritten', 't')} AS rewritten_text,
+               concat('Rewrite like group ', t.label) AS rewrite_prompt, concat('group-', t.label) AS source,
+               coalesce(s.predicted, []) AS predicted, coalesce(s.cosine, []) AS cosine
+        FROM members t LEFT JOIN (
+            SELECT s.row_id, list({_told('Answer', 'm')} ORDER BY s.place) AS predicted, list(s.cosine ORDER BY s.place) AS cosine
+            FROM scores s JOIN members m USING (vec_id) GROUP BY s.row_id) s ON s.row_id = t.row_id
+        WHERE t.place = 0""",
     "indexed_candidates": f"""
-        SELECT *, row_number() OVER (PARTITION BY version, split ORDER BY {digest(0, 'row_id')}, row_id) - 1 AS id,
+        SELECT *, row_number() OVER (PARTITION BY version, split ORDER BY {digest('index|0', 'row_id')}, row_id) - 1 AS id,
                list_position(cosine, list_max(cosine)) AS best
         FROM candidates""",
     "pairs": """
@@ -283,13 +300,13 @@ TABLES = {
                predicted[n] AS rejected, version, split
         FROM (SELECT *, unnest(range(1, len(predicted) + 1)) AS n FROM indexed_candidates) WHERE n <> best""",
     "pool": f"""
-        SELECT *, row_number() OVER (ORDER BY {digest(0, 'conv_id', 'turn')}, conv_id, turn) - 1 AS place
+        SELECT *, row_number() OVER (ORDER BY {digest('index|0', 'conv_id', 'turn')}, conv_id, turn) - 1 AS place
         FROM triples WHERE split = 'test'""",
     "with_examples": f"""
         SELECT t.*, e0 AS e0, e1 AS e1
         FROM triples t
-        JOIN pool e0 ON e0.place = floor({uniform(digest(0, 't.conv_id', 't.turn', "'0'"))} * (SELECT count(*) FROM pool))::BIGINT
-        JOIN pool e1 ON e1.place = floor({uniform(digest(0, 't.conv_id', 't.turn', "'1'"))} * (SELECT count(*) FROM pool))::BIGINT""",
+        JOIN pool e0 ON e0.place = floor({uniform(digest('example|0', 't.conv_id', 't.turn', "'0'"))} * (SELECT count(*) FROM pool))::BIGINT
+        JOIN pool e1 ON e1.place = floor({uniform(digest('example|0', 't.conv_id', 't.turn', "'1'"))} * (SELECT count(*) FROM pool))::BIGINT""",
 }
 
 
@@ -337,14 +354,10 @@ def _pair_text(answer: str) -> str:
 
 
 _example_turns = [
-    turn
-    for original, rewritten, prompt in DEFAULT_EXAMPLES
-    for turn in [
-        ("user", lit(f"{ORIGINAL_PREFIX} {original}")),
-        ("assistant", lit(REPLY_TO_ORIGINAL)),
-        ("user", lit(f"{REWRITTEN_PREFIX} {rewritten}")),
-        ("assistant", lit(f"{START_RESPONSE} {prompt}")),
-    ]
+    ("user", f"concat({lit(ORIGINAL_PREFIX + ' Good day')})"),
+    ("assistant", lit(REPLY_TO_ORIGINAL)),
+    ("user", f"concat({lit(REWRITTEN_PREFIX + ' Ahoy')})"),
+    ("assistant", lit(START_RESPONSE + " Talk like a sailor")),
 ]
 _literal_stack = [
     ("user", system_prompt(pick(2, "s", *PAIR))),
@@ -379,11 +392,8 @@ ORACLE_SQL = {
         f"SELECT doc_id, split, original_text FROM ({_sampled('texts', 100, 1, 'doc_id')})"
     ),
     "multi_column_text": f"""
-        SELECT conv_id, t AS original_text, {words('t')}::INTEGER AS original_length FROM (
-            SELECT conv_id, max(CASE WHEN turn = 0 THEN text END) || chr(10) || max(CASE WHEN turn = 1 THEN text END)
-                   || chr(10) || max(CASE WHEN turn = 2 THEN text END) || chr(10)
-                   || max(CASE WHEN turn = 3 THEN text END) AS t
-            FROM conversations GROUP BY conv_id) WHERE t IS NOT NULL""",
+        SELECT doc_id, t AS original_text, {words('t')}::INTEGER AS original_length
+        FROM (SELECT doc_id, source || chr(10) || lang || chr(10) || text AS t FROM documents)""",
     "prompt_catalogue": query(
         "SELECT * FROM catalogue UNION ALL SELECT 'benchmark', text FROM benchmark"
         " UNION ALL SELECT 'benchmark', text FROM benchmark"
@@ -422,22 +432,24 @@ ORACLE_SQL = {
         f" FROM draws d JOIN texts t ON t.doc_id = d.doc_id)"
     ),
     "quality_filter": query(
-        "SELECT t.doc_id, t.split, t.original_text, l.quality::DOUBLE AS en, 'news' AS most_likely_label"
-        " FROM texts t JOIN labels l ON l.doc_id = t.doc_id WHERE l.quality > 0.95 AND l.toxic <> 1"
+        "SELECT doc_id, split, original_text, round(en, 6) AS en, most_likely_label FROM ("
+        + _topics(f"(SELECT *, {_english('original_text')} AS en FROM texts)", "original_text")
+        + ") WHERE en > 0.95 AND most_likely_label IN ('tweet', 'news', 'story')"
     ),
     "select_for_rewriting": query(
-        "SELECT doc_id, split, original_length, en, most_likely_label FROM ("
-        + _topics(
-            "(SELECT s.*, l.quality::DOUBLE AS en FROM ("
-            + _sampled("texts", 200, 3, "doc_id")
-            + ") s JOIN labels l ON l.doc_id = s.doc_id WHERE l.quality > 0.95)",
-            "original_text",
-        )
-        + ") WHERE most_likely_label IN ('tweet', 'news', 'story')"
+        "SELECT doc_id, split, original_length, round(en, 6) AS en, most_likely_label FROM ("
+        + _topics(f"(SELECT *, {_english('original_text')} AS en FROM ({_sampled('texts', 200, 3, 'doc_id')}))", "original_text")
+        + ") WHERE en > 0.95 AND most_likely_label IN ('tweet', 'news', 'story')"
     ),
     "topic_label": query(
         f"SELECT doc_id, most_likely_label, {_rounded_topics} FROM ({_topics('texts', 'original_text')})"
     ),
+    "language_score": query(
+        "SELECT split, count(*) AS rows, true AS agrees FROM (SELECT t.split FROM texts t) GROUP BY split"
+    ),
+    "prompt_clusters": query(
+        "SELECT source, rewrite_prompt, 256::INTEGER AS size, 1.0::DOUBLE AS norm, true AS nearest FROM prompts"
+    ),
     "batch_generate": query(
         "SELECT doc_id, concat(' -> ', w, ' words') AS rewritten_text, 'echo' AS model, 100::INTEGER AS output_len,"
         f" 20::INTEGER AS top_k FROM (SELECT doc_id, {words('input')} AS w FROM ("
@@ -459,14 +471,15 @@ ORACLE_SQL = {
     ),
     "versions_union": query("SELECT * REPLACE (round(yes, 6) AS yes) FROM versions WHERE yes < 0.5::DOUBLE"),
     "latest_revision": query(
-        "SELECT version, 1::INTEGER AS revision, split, count(*) AS rows FROM versions WHERE version = 'v-1' GROUP BY ALL"
+        "SELECT version, 1::INTEGER AS revision, split, count(*) AS rows, true AS refused"
+        " FROM versions WHERE version = 'v-1' GROUP BY ALL"
     ),
     "cosine_scores": query(
         "SELECT row_id, place, round(cosine, 6) AS cosine, round(cosine_3, 6) AS cosine_3 FROM scores"
     ),
     "candidate_arrays": query(
-        "SELECT s.row_id, (s.place - 1)::INTEGER AS at, d.text AS predicted, round(s.cosine, 6) AS cosine,"
-        " round(s.cosine_3, 6) AS cosine_3 FROM scores s JOIN documents d ON d.doc_id = s.vec_id"
+        f"SELECT s.row_id, (s.place - 1)::INTEGER AS at, {_told('Answer', 'm')} AS predicted, round(s.cosine, 6) AS cosine,"
+        " round(s.cosine_3, 6) AS cosine_3 FROM scores s JOIN members m USING (vec_id)"
     ),
     "regrouped_answers": """
         SELECT conv_id, (turn // 3)::INTEGER AS at, max(CASE WHEN turn % 3 = 0 THEN text END) AS answer_0,
@@ -482,9 +495,13 @@ ORACLE_SQL = {
         " round(avg(list_aggregate(cosine, 'stddev_pop')), 6) AS cosine_std FROM candidates GROUP BY split"
     ),
     "preference_pairs": query("SELECT * FROM pairs"),
-    "gathered_pairs": query("SELECT * EXCLUDE (id) FROM pairs"),
+    "gathered_pairs": query(
+        "SELECT i.id, p.* EXCLUDE (id) FROM pairs p JOIN (SELECT original_text,"
+        f" row_number() OVER (PARTITION BY version, split ORDER BY {digest('index|0', 'original_text')}, original_text) - 1 AS id"
+        " FROM candidates) i USING (original_text)"
+    ),
     "row_ids": query(
-        f"SELECT split, doc_id, row_number() OVER (PARTITION BY split ORDER BY {digest(5, 'doc_id')}, doc_id) - 1 AS id"
+        f"SELECT split, doc_id, row_number() OVER (PARTITION BY split ORDER BY {digest('index|5', 'doc_id')}, doc_id) - 1 AS id"
         " FROM texts"
     ),
     "run_positions": """
@@ -540,23 +557,26 @@ ORACLE_SQL = {
         " FROM scores GROUP BY place"
     ),
     "rewrite_job": query(
-        "SELECT doc_id, draw_no, split, most_likely_label, rewritten_text,"
-        f" CASE WHEN scored THEN round({_containment('rewrite_prompt', 'rewritten_text')}, 6) ELSE 0.0::DOUBLE END AS yes,"
-        f" scored FROM (SELECT *, concat(' -> ', w, ' words') AS rewritten_text,"
-        f" {uniform(digest(0, 'doc_id', 'draw_no'))} >= 0.5::DOUBLE AS scored FROM (SELECT *, {words('input')} AS w FROM ("
+        "SELECT doc_id, draw_no, split, most_likely_label,"
+        " CASE WHEN scored AND p_shorter < p AND p > 0.7::DOUBLE THEN shorter ELSE answer END AS rewritten_text,"
+        " CASE WHEN NOT scored THEN 0.0::DOUBLE ELSE round(CASE WHEN p_shorter < p AND p > 0.7::DOUBLE THEN p_shorter ELSE p END, 6) END AS yes,"
+        f" scored FROM (SELECT *, {_containment('rewrite_prompt', 'answer')} AS p, {_containment('rewrite_prompt', 'shorter')} AS p_shorter,"
+        f" {uniform(digest('bypass|0', 'doc_id', 'draw_no'))} >= 0.5::DOUBLE AS scored FROM (SELECT *, concat(' -> ', w, ' words') AS shorter,"
+        " CASE WHEN w % 3 = 0 THEN concat(replace(input, chr(10), ' '), chr(10), ' -> ', w, ' words') ELSE concat(' -> ', w, ' words') END AS answer"
+        f" FROM (SELECT *, {words('input')} AS w FROM ("
         f"SELECT *, {_rewrite_input('rewrite_index', 'rewrite_prompt', 'original_text')} AS input FROM ("
         f"SELECT *, {pick(3, 'template|0', 'doc_id', 'draw_no')} AS rewrite_index FROM ("
         + _topics(
-            "(SELECT s.* FROM ("
+            f"(SELECT *, {_english('original_text')} AS en FROM ("
             + _sampled(
                 "(SELECT d.doc_id, d.draw_no, d.rewrite_prompt, t.original_text, t.split"
                 " FROM draws d JOIN texts t ON t.doc_id = d.doc_id)",
                 1500, 1, "doc_id, draw_no",
             )
-            + ") s JOIN labels l ON l.doc_id = s.doc_id WHERE l.quality > 0.95)",
+            + "))",
             "original_text",
         )
-        + ") WHERE most_likely_label IN ('tweet', 'news', 'story')))) WHERE w % 7 <> 0)"
+        + ") WHERE en > 0.95 AND most_likely_label IN ('tweet', 'news', 'story')))) WHERE w % 7 <> 0))"
     ),
     "evaluate_answers": query(
         "SELECT split, round(avg(c), 6) AS similarity, round(avg(c * c * c), 6) AS similarity_3 FROM ("

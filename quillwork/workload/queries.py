@@ -11,8 +11,8 @@ from quillwork.functions.arrays import regroup
 from quillwork.functions.chat import stack_messages
 from quillwork.functions.text import after_last, join_texts, or_empty, pollution_question, strip, word_count
 from quillwork.functions.vectors import cosine
-from quillwork.operators.clustering import mean_vectors, with_nearest_centre
-from quillwork.operators.formatting import default_examples, formatted, with_marker
+from quillwork.operators.clustering import centres_frame, mean_vectors, with_nearest_centre
+from quillwork.operators.formatting import formatted, with_marker
 from quillwork.operators.generation import attach_generations, generate_texts, regroup_rows, with_generation_input
 from quillwork.operators.labeling import (
     allowed_topics,
@@ -43,7 +43,7 @@ from quillwork.schemas import GATHERED
 from quillwork.session import materialise, new_folder
 from quillwork.sources.corpora import read_text_corpus
 from quillwork.sources.tables import read_csv_sources
-from quillwork.sources.versions import VersionedTables
+from quillwork.sources.versions import VersionedTables, read_prompts, write_table
 from quillwork.workload import inputs
 from quillwork.workload.inputs import PAIR_KEY, table
 
@@ -75,12 +75,9 @@ def sample_by_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def multi_column_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    turns = table(spark, sf_dir, "conversations")
-    wide = turns.groupBy("conv_id").agg(
-        *[F.max(F.when(F.col("turn") == n, F.col("text"))).alias(f"turn_{n}") for n in range(4)]
-    )
-    joined = wide.select("conv_id", join_texts("turn_0", "turn_1", "turn_2", "turn_3").alias("original_text"))
-    return joined.where(F.col("original_text").isNotNull()).withColumn("original_length", word_count("original_text"))
+    """Several columns of a row as one text."""
+    joined = table(spark, sf_dir, "documents").select("doc_id", join_texts("source", "lang", "text").alias("original_text"))
+    return joined.withColumn("original_length", word_count("original_text"))
 
 
 # -- prompts ----------------------------------------------------------------
@@ -153,28 +150,24 @@ def generation_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quality_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Language and topic filters on given scores."""
-    scored = inputs.texts(spark, sf_dir).join(table(spark, sf_dir, "labels"), "doc_id")
-    scored = scored.withColumn("en", F.col("quality").cast("double")).withColumn(
-        "most_likely_label", F.when(F.col("toxic") == 1, "marketing").otherwise("news")
-    )
-    kept = allowed_topics(english_only(scored))
-    return kept.select("doc_id", "split", "original_text", "en", "most_likely_label")
+    """Language and topic filters on scores of every text."""
+    scored = inputs.texts(spark, sf_dir, heavy=True).withColumn("en", inputs.english_share("original_text"))
+    labelled = with_topic_label(english_only(scored), inputs.topic_logits("original_text", F.col("original_length")))
+    return allowed_topics(labelled).select("doc_id", "split", "original_text", F.round("en", 6).alias("en"), "most_likely_label")
 
 
 def select_for_rewriting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sample, English, topic: the whole selection with given language scores."""
-    scores = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("double").alias("en"))
+    """Sample, English, topic: the whole selection."""
     chosen = select_texts(
         inputs.texts(spark, sf_dir),
         ["doc_id"],
-        lambda df: df.join(scores, "doc_id"),
+        lambda df: df.withColumn("en", inputs.english_share("original_text")),
         inputs.topic_logits("original_text", F.col("original_length")),
         version=3,
         split="all",
         num_samples=200,
     )
-    return chosen.select("doc_id", "split", "original_length", "en", "most_likely_label")
+    return chosen.select("doc_id", "split", "original_length", F.round("en", 6).alias("en"), "most_likely_label")
 
 
 def topic_label(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -187,10 +180,12 @@ def topic_label(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def language_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """P(English) from a model trained on the train split, for every document."""
+    """P(English) for every document from a model of the train split; per split, whether nine of ten decisions agree with ``lang``."""
     documents = inputs.texts(spark, sf_dir, heavy=True, row_key=("doc_id", "lang"))
     model = train_language_model(documents.where(F.col("split") == "train"))
-    return with_language_probability(documents, model).select("doc_id", "split", "lang", "en")
+    agree = ((F.col("en") > 0.5) == (F.col("lang") == "en")).cast("double")
+    scored = with_language_probability(documents, model)
+    return scored.groupBy("split").agg(F.count("*").alias("rows"), (F.avg(agree) >= 0.9).alias("agrees"))
 
 
 def _echoing_generator(batch: pd.DataFrame) -> pd.DataFrame:
@@ -200,6 +195,15 @@ def _echoing_generator(batch: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"rewritten_text": answers.where(words % 7 != 0, "EMPTY")})
 
 
+def _polluting_generator(batch: pd.DataFrame) -> pd.DataFrame:
+    """As above, but every third count repeats the whole instruction in a first line, as models do."""
+    words = batch["input"].str.count(" ") + 1
+    answer = " -> " + words.astype(str) + " words"
+    repeated = batch["input"].str.replace("\n", " ") + "\n" + answer
+    answers = batch["input"] + answer.where(words % 3 != 0, repeated)
+    return pd.DataFrame({"rewritten_text": answers.where(words % 7 != 0, "EMPTY")})
+
+
 def batch_generate(spark: SparkSession, sf_dir: str) -> DataFrame:
     filled = with_generation_input(
         inputs.texts(spark, sf_dir, heavy=True).withColumn("rewrite_prompt", F.lit("Improve the text.")), ["doc_id"]
@@ -223,15 +227,14 @@ def table_generate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rewrite_job(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Select, render, generate and label, as one chain of jobs."""
+    """Select, render, generate, label and repair, as one chain of jobs."""
     templates = add_templates(inputs.texts(spark, sf_dir, heavy=True), inputs.prompts(spark, sf_dir), ["doc_id"])
-    scores = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("double").alias("en"))
     selected = select_texts(
-        templates, ["doc_id", "draw_no"], lambda df: df.join(scores, "doc_id"),
+        templates, ["doc_id", "draw_no"], lambda df: df.withColumn("en", inputs.english_share("original_text")),
         inputs.topic_logits("original_text", F.col("original_length")), version=1, split="all",
     )
     rewritten = rewrite_texts(
-        selected, ["doc_id", "draw_no"], FunctionScorer(_echoing_generator), "echo", {"output_len": 100}, echoes=True
+        selected, ["doc_id", "draw_no"], FunctionScorer(_polluting_generator), "echo", {"output_len": 100}, echoes=True
     )
     labelled = label_rewritten(rewritten, ["doc_id", "draw_no"])
     return labelled.select(
@@ -276,9 +279,15 @@ def versions_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def latest_revision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the newest revision, and that a version is not replaced unasked."""
     tables = _written_versions(spark, sf_dir)
     newest = tables.read("labeled_rewritten_texts", 1, GATHERED)
-    return row_counts(newest, ["version", "revision", "split"])
+    try:
+        tables.write(newest, "labeled_rewritten_texts", 1)
+        refused = False
+    except FileExistsError:
+        refused = True
+    return row_counts(newest, ["version", "revision", "split"]).withColumn("refused", F.lit(refused))
 
 
 # -- scores and pairs -------------------------------------------------------
@@ -332,8 +341,7 @@ def gathered_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = VersionedTables(spark, new_folder(spark, "versions"))
     for version in (1, 2):
         tables.write(scored.where(F.col("version") == f"v-{version}"), "generated_and_scored_texts", version)
-    pairs = gather_pairs(tables, ["original_text", "rewrite_prompt", "predicted"])
-    return pairs.drop("id")
+    return gather_pairs(tables, ["original_text"])
 
 
 def row_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -352,20 +360,25 @@ def run_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def nearest_centre(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nearest of the mean vectors of the labels, which are a fixed small set."""
+    """Nearest of the mean vectors of the labels, numbered in the labels' order."""
     vectors = table(spark, sf_dir, "embeddings")
-    means = mean_vectors(vectors, "label", "embedding").orderBy("label").limit(1001).collect()
-    if len(means) > 1000:
-        raise ValueError("labels are expected to be a small fixed set")
-    return with_nearest_centre(vectors, [row["center"] for row in means], "embedding").select(
-        "vec_id", "label", "cluster"
-    )
+    means = [row["center"] for row in mean_vectors(vectors, "label", "embedding").orderBy("label").collect()]
+    return with_nearest_centre(vectors, means, "embedding").select("vec_id", "label", "cluster")
 
 
 def prompt_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    given = inputs.benchmark_prompts(spark, sf_dir)
-    clustered, _ = build_prompts(given)
-    return clustered.select("source", "rewrite_prompt", "cluster")
+    """The prompt table and the centres, written and read back: each prompt's cluster is that of its nearest centre."""
+    clustered, model = build_prompts(inputs.benchmark_prompts(spark, sf_dir))
+    folder = new_folder(spark, "prompts")
+    write_table(clustered, f"{folder}/prompts")
+    write_table(centres_frame(spark, model), f"{folder}/centres")
+    centres = [row["center"] for row in read_prompts(spark, f"{folder}/centres").orderBy("cluster").collect()]
+    norm = F.round(F.sqrt(F.aggregate("embeddings", F.lit(0.0), lambda n, x: n + x * x)), 4)
+    prompts = with_nearest_centre(read_prompts(spark, f"{folder}/prompts"), centres, "embeddings", "_nearest")
+    return prompts.select(
+        "source", "rewrite_prompt", F.size("embeddings").alias("size"), norm.alias("norm"),
+        (F.col("cluster") == F.col("_nearest")).alias("nearest"),
+    )
 
 
 # -- formats ----------------------------------------------------------------
@@ -402,9 +415,13 @@ def message_stack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def chat_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The messages themselves, one row per turn, with the literal examples."""
+    """The messages themselves, one row per turn, with an example given as a value."""
+    example = F.struct(
+        F.lit("Good day").alias("original_text"), F.lit("Ahoy").alias("rewritten_text"),
+        F.lit("Talk like a sailor").alias("rewrite_prompt"),
+    )
     messages = stack_messages(
-        "original_text", "rewritten_text", "rewrite_prompt", default_examples(), "mock", choice(2, *PAIR_KEY, salt="s")
+        "original_text", "rewritten_text", "rewrite_prompt", F.array(example), "mock", choice(2, *PAIR_KEY, salt="s")
     )
     turns = inputs.triples(spark, sf_dir).select(*PAIR_KEY, F.posexplode(messages).alias("at", "m"))
     return turns.select(*PAIR_KEY, "at", F.col("m.role").alias("role"), F.col("m.content").alias("content"))

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from quillwork import fixed as X
 from quillwork.functions.chat import STYLES, render
-from quillwork.operators.formatting import default_examples, format_rows, formatted, style_of, with_marker
+from quillwork.operators.formatting import format_rows, formatted, style_of, with_marker
 
 ROW = [(1, " The original {rewritten_text} ", "re<eos>written</s>", "make it better")]
 SCHEMA = "id int, original_text string, rewritten_text string, rewrite_prompt string"
@@ -49,6 +49,14 @@ def test_single_turn_chats(spark):
     assert llama in options
 
 
+EXAMPLES = [("Good day", "\nAhoy", "Talk like a sailor."), ("Night \u2013 falls", "It is\ndark", "Say it plainly")]
+
+
+def example_array():
+    names = ("original_text", "rewritten_text", "rewrite_prompt")
+    return F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in zip(names, e)]) for e in EXAMPLES])
+
+
 def four(original, rewritten, prompt):
     return [
         f"Original Text: {original}", X.REPLY_TO_ORIGINAL, f"Re-written Text: {rewritten}", f"Prompt Used: {prompt}",
@@ -57,7 +65,7 @@ def four(original, rewritten, prompt):
 
 @pytest.mark.parametrize("system", ["mock", "none"])
 def test_message_stack_in_three_dialects(spark, system):
-    turns = [t for e in X.DEFAULT_EXAMPLES for t in four(*e)] + four(*ROW[0][1:])
+    turns = [t for e in EXAMPLES for t in four(*e)] + four(*ROW[0][1:])
     openings = [[s, X.MOCK_SYSTEM_REPLY] for s in X.SYSTEM_PROMPTS] if system == "mock" else [[]]
 
     def pairs(opening):
@@ -80,7 +88,7 @@ def test_message_stack_in_three_dialects(spark, system):
         ],
     }
     for style, texts in want.items():
-        assert text(spark, style, examples=default_examples(), system=system) in texts
+        assert text(spark, style, examples=example_array(), system=system) in texts
 
 
 def test_llama_system_turn_is_folded_into_the_first_user_turn(spark):
