@@ -67,6 +67,17 @@ def per_slice(work: Callable[[pa.RecordBatch], pa.RecordBatch], text: str = "tex
     return run
 
 
+def first_by_hash(rows: DataFrame, hash_column: str, most: int, count: int) -> DataFrame:
+    """The ``most`` rows of ``count`` with the smallest hashes (MD5 in hex).
+
+    Rows beyond twice the share wanted are dropped before the sort, so what is sorted does not grow with the table.
+    """
+    if count > 2 * most + 100:
+        share = F.conv(F.substring(hash_column, 1, 8), 16, 10).cast("bigint") / F.lit(float(16**8))
+        rows = rows.where(share < (2.0 * most + 100) / count)
+    return rows.orderBy(hash_column).limit(most)
+
+
 def digest_uniform(seed: int | str, purpose: str, key: Column) -> Column:
     """Uniform double in [0, 1) that depends on purpose, seed and key alone."""
     digest = F.md5(F.concat(F.lit(f"{purpose}|{seed}|"), F.coalesce(key.cast("string"), F.lit("null"))))

@@ -30,15 +30,16 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillwork.llm.common import held_out, table
+from quillwork.llm.common import first_by_hash, held_out, table
+from quillwork.session import materialise
 
 #: Most documents that landmarks and machine, and that the logistic fit, learn from; most sentences.
 LEARN_DOCS = 12_000
 FIT_DOCS = 8000
 SENTENCES = 8000
 #: Clean units that a round adds.
-HARD = 4000
-LANDMARKS = 600
+HARD = 3000
+LANDMARKS = 512
 #: Root of twice the log likelihood ratio above which a unit is taken to tell toxic from clean.
 SURE = 5.0
 #: Units that stand apart or are common, told to the driver at most.
@@ -111,48 +112,52 @@ class Machine:
         self.column = np.full(1 << 18, -1, np.int32)
         self.column[codes] = np.arange(len(codes))
         self.codes = codes
-        self.vectors = np.zeros((len(landmarks), len(codes)))
+        self.vectors = np.zeros((len(landmarks), len(codes)), np.float32)
         for n, c, w in found:
             np.add.at(self.vectors, (n, self.column[c]), w)
-        self.vectors /= np.concatenate([scale(u, e) for u, e in groups])[:, None]
-        value, vector = np.linalg.eigh(self.vectors @ self.vectors.T)
-        keep = value > 1e-6 * value.max()
+        self.vectors /= np.concatenate([scale(u, e) for u, e in groups])[:, None].astype(np.float32)
+        value, vector = np.linalg.eigh((self.vectors @ self.vectors.T).astype(float))
+        keep = value > 1e-5 * value.max()
         self.whiten = vector[:, keep] / np.sqrt(value[keep])
         self.table = np.zeros(1 << 18, np.float32)
         self.bias = 0.0
 
     def embed(self, units: list[str]) -> np.ndarray:
-        """Nyström features of units."""
-        basis = self.vectors.T @ self.whiten
-        out = np.zeros((len(units), basis.shape[1]))
+        """Nyström features of units, and a one."""
+        basis = self.vectors.T @ self.whiten.astype(np.float32)
+        out = np.zeros((len(units), basis.shape[1] + 1), np.float32)
         for begin in range(0, len(units), 2000):
             part = units[begin : begin + 2000]
             for unit, code, weight in subsequences(part):
                 column = self.column[code]
                 known = column >= 0
-                np.add.at(out, unit[known] + begin, weight * basis[column[known]])
-        return out / scale(units)[:, None]
+                np.add.at(out[:, :-1], unit[known] + begin, weight * basis[column[known]])
+        out /= scale(units)[:, None]
+        out[:, -1] = 1
+        return out
 
     def train(self, x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-4) -> None:
         """Squared hinge loss by Newton steps over the rows that are not yet beyond their margin."""
-        x = np.hstack([x, np.ones((len(x), 1))])
         w = np.zeros(x.shape[1])
         weight = weight / weight.sum()
         pull = ridge * np.eye(len(w))
         pull[-1, -1] = 1e-6
 
-        def loss(w: np.ndarray) -> float:
-            return float(w @ pull @ w / 2 + (weight * np.maximum(0, 1 - y * (x @ w)) ** 2).sum())
+        def loss(f: np.ndarray, w: np.ndarray) -> float:
+            return float(w @ pull @ w / 2 + (weight * np.maximum(0, 1 - y * f) ** 2).sum())
 
+        f = x @ w
         for _ in range(30):
-            active = y * (x @ w) < 1
-            xa = x[active] * weight[active, None]
-            step = np.linalg.solve(2 * xa.T @ x[active] + pull, pull @ w + 2 * xa.T @ (x[active] @ w - y[active]))
-            size, now = 1.0, loss(w)
-            while size > 1e-3 and loss(w - size * step) > now:
+            active = np.flatnonzero(y * f < 1)
+            xa = x[active]
+            slope = pull @ w + 2 * (weight[active] * (f[active] - y[active])) @ xa
+            curve = np.asarray(2 * (xa * weight[active, None].astype(x.dtype)).T @ xa, float) + pull
+            step = np.linalg.solve(curve, slope)
+            move, size, now = x @ step, 1.0, loss(f, w)
+            while size > 1e-3 and loss(f - size * move, w - size * step) > now:
                 size /= 2
-            w = w - size * step
-            if now - loss(w) < 1e-9:
+            w, f = w - size * step, f - size * move
+            if now - loss(f, w) < 1e-9:
                 break
         self.bias = float(w[-1])
         self.table[:] = 0
@@ -251,36 +256,43 @@ def sentences_of(text: str, most: int = 40) -> Iterator[list[str]]:
             yield units[k : k + most]
 
 
-def fit(labelled: DataFrame, learn_docs: int = LEARN_DOCS, fit_docs: int = FIT_DOCS, n_landmarks: int = LANDMARKS) -> Toxicity:
-    """Learn from ``labelled`` (text, toxic), at most ``learn_docs`` and ``fit_docs`` of them, the first in a hash's order.
+def fit(docs: DataFrame, labels: DataFrame, learn_docs: int = LEARN_DOCS, fit_docs: int = FIT_DOCS, n_landmarks: int = LANDMARKS) -> Toxicity:
+    """Learn from the texts of ``docs`` that ``labels`` (doc_id, toxic) speak of.
 
-    A third of what the machine learns from is toxic if there is as much; the logistic fit sees labels as they fall.
+    Of the labels, the first in the order of a hash are taken: ``learn_docs`` for landmarks and machine, a third of
+    them toxic if there are as many, and ``fit_docs`` others, as labels fall, for the logistic fit. Only texts of these are moved.
     """
-    rows = labelled.where("text IS NOT NULL AND toxic IN (0, 1)").select("text", "toxic", F.md5(F.concat(F.lit("toxicity|"), "text")).alias("hash"))
-    first = rows.where(F.substring("hash", 1, 1).isin(*"02468ace"))
-    parallel = max(2, labelled.sparkSession.sparkContext.defaultParallelism)
-    learn = (
-        first.where("toxic = 1").orderBy("hash").limit(learn_docs // 3)
-        .unionByName(first.where("toxic = 0").orderBy("hash").limit(learn_docs - learn_docs // 3))
-        .dropDuplicates(["hash"])
-        .repartition(parallel)
-        .cache()
+    known = (
+        labels.where("doc_id IS NOT NULL AND toxic IN (0, 1)").groupBy("doc_id").agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("_most"))
+        .where("toxic = _most").select(F.col("doc_id").alias("_id"), "toxic", F.md5(F.concat(F.lit("toxicity|"), F.col("doc_id").cast("string"))).alias("_hash"))
     )
-    share = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
-    whole = sum(share.values())
-    none = Toxicity(None, np.zeros(5), share.get(1, 0) / whole if whole else 0.0)
-    n = {r["toxic"]: r["count"] for r in learn.groupBy("toxic").count().collect()}
+    odd = F.substring("_hash", 32, 1).isin(*"13579bdf")
+    n_labels = {(r["odd"], r["toxic"]): r["count"] for r in known.groupBy(odd.alias("odd"), "toxic").count().collect()}
+    whole = sum(n_labels.values())
+    none = Toxicity(None, np.zeros(5), sum(c for (_, t), c in n_labels.items() if t) / whole if whole else 0.0)
+    wanted = {1: learn_docs // 3, 0: learn_docs - learn_docs // 3}
+    taken = [first_by_hash(known.where(~odd & (F.col("toxic") == t)), "_hash", n, n_labels.get((False, t), 0)).withColumn("_use", F.lit("learn")) for t, n in wanted.items()]
+    taken.append(first_by_hash(known.where(odd), "_hash", fit_docs, n_labels.get((True, 0), 0) + n_labels.get((True, 1), 0)).withColumn("_use", F.lit("fit")))
+    ids = materialise(taken[0].unionByName(taken[1]).unionByName(taken[2]).drop("_hash"), "labels")
+    # copies of a text teach once
+    texts = docs.select("doc_id", "text").join(ids, F.col("doc_id") == F.col("_id")).where("text IS NOT NULL")
+    sample = materialise(texts.groupBy("_use", "toxic", F.md5("text").alias("_text")).agg(F.first("text").alias("text")), "labelled")
+    parallel = max(2, docs.sparkSession.sparkContext.defaultParallelism)
+    learn = sample.where("_use = 'learn'").select("text", "toxic").repartition(parallel)
+    held = sample.where("_use = 'fit'").select("text", "toxic").repartition(parallel)
+    n = {r["toxic"]: r["count"] for r in sample.where("_use = 'learn'").groupBy("toxic").count().collect()}
     if min(n.get(0, 0), n.get(1, 0)) == 0:
         return none
-    counts = (
-        learn.select("text", "toxic").mapInPandas(_unit_rows, "unit string, stem boolean, toxic int")
+    counts = materialise(
+        learn.mapInPandas(_unit_rows, "unit string, stem boolean, toxic int")
         .groupBy("unit", "stem").agg(F.sum("toxic").cast("double").alias("a"), F.sum(1 - F.col("toxic")).cast("double").alias("b"))
         .withColumns({"p": (F.col("a") + 0.5) / (n[1] + 1), "q": (F.col("b") + 0.5) / (n[0] + 1)})
         # signed root of the likelihood ratio: how far the unit is from telling nothing
         .withColumn("apart", F.signum(F.log(F.col("p") / F.col("q"))) * F.sqrt(F.greatest(F.lit(0.0), 2 * (
             F.col("a") * F.log(F.greatest(F.col("p") * (n[0] + n[1] + 2) / (F.col("a") + F.col("b") + 1), F.lit(1e-9)))
             + F.col("b") * F.log(F.greatest(F.col("q") * (n[0] + n[1] + 2) / (F.col("a") + F.col("b") + 1), F.lit(1e-9)))))))
-        .cache()
+        .where("a + b > 1 OR b > 0"),
+        "units",
     )
     told = counts.where("a >= 2 AND apart > 2").orderBy(F.desc("apart"), "unit", "stem").limit(TOLD // 3).toPandas()
     common = counts.where("NOT stem AND apart < 1 AND b > 0").orderBy(F.desc("b"), "unit").limit(TOLD - TOLD // 3).toPandas()
@@ -303,7 +315,7 @@ def fit(labelled: DataFrame, learn_docs: int = LEARN_DOCS, fit_docs: int = FIT_D
                     order = [hashlib.md5("\n".join(s).encode("utf-8", "surrogatepass")).hexdigest() for s in found]
                     yield pd.DataFrame({"units": found, "order": order})
 
-    drawn = learn.where("toxic = 1").select("text", "toxic").mapInPandas(sentence_rows, "units array<string>, order string")
+    drawn = learn.where("toxic = 1").mapInPandas(sentence_rows, "units array<string>, order string")
     bad = [list(u) for u in drawn.orderBy("order").limit(SENTENCES).toPandas()["units"]]
     # only units that tell can be witnesses, else common words of the same sentences would become toxic
     bad = [[u for u in s if told_by(u) > 0] for s in bad]
@@ -327,8 +339,6 @@ def fit(labelled: DataFrame, learn_docs: int = LEARN_DOCS, fit_docs: int = FIT_D
                 every = sorted({u for s in bad for u in s})
                 scored = dict(zip(every, machine.decide(every).tolist()))
                 witness = [max(s, key=lambda u: (scored[u], u)) for s in bad]
-    learn.unpersist()
-    counts.unpersist()
     machine.vectors = machine.whiten = machine.column = None  # the table is all that scoring needs
     model = Toxicity(machine, np.zeros(5), none.share)
 
@@ -337,8 +347,7 @@ def fit(labelled: DataFrame, learn_docs: int = LEARN_DOCS, fit_docs: int = FIT_D
             found = model.evidence(batch["text"].tolist())
             yield pd.DataFrame({"x": found.tolist(), "toxic": batch["toxic"].astype(int)})
 
-    held = rows.where(~F.substring("hash", 1, 1).isin(*"02468ace")).orderBy("hash").limit(fit_docs).repartition(parallel)
-    shown = held.select("text", "toxic").mapInPandas(evidence_rows, "x array<double>, toxic int").toPandas()
+    shown = held.mapInPandas(evidence_rows, "x array<double>, toxic int").toPandas()
     if shown["toxic"].nunique() < 2:
         return none
     model.weights = logistic(np.array(shown["x"].tolist()), shown["toxic"].to_numpy(float))
@@ -358,8 +367,7 @@ def toxic_score(text: Column, model: Toxicity) -> Column:
 
 def learned(docs: DataFrame, labels: DataFrame) -> Toxicity:
     """The model of the labelled documents that are not held out; texts and labels are all it sees."""
-    known = labels.where(~held_out()).select(F.col("doc_id").alias("_id"), F.col("toxic"))
-    return fit(docs.select("doc_id", "text").join(known, F.col("doc_id") == F.col("_id")).select("text", "toxic"))
+    return fit(docs, labels.where(~held_out()).select("doc_id", "toxic"))
 
 
 def op8_toxicity(spark, sf_dir: str) -> DataFrame:
