@@ -23,7 +23,7 @@ HEADLINE = [
     "downloaded_triples", "generation_inputs", "select_for_rewriting", "topic_label", "language_score",
     "batch_generate", "pollution_repair", "versions_union", "cosine_scores", "score_summary", "preference_pairs",
     "nearest_centre", "prompt_clusters", "chat_format", "message_stack", "dpo_examples", "evaluate_similarity",
-    "evaluate_answers", "score_job",
+    "evaluate_answers", "score_job", "rewrite_job", "row_ids", "run_positions", "sft_examples", "gathered_pairs",
 ]
 
 
