@@ -2,6 +2,7 @@ import pytest
 
 import __spark_entry__ as entry
 from check import compare, connect
+from quillwork.workload.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -9,7 +10,7 @@ def connection(sf_dir):
     return connect(sf_dir)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_its_sql(spark, sf_dir, connection, name):
     verdict, _ = compare(spark, connection, name, sf_dir)
     assert verdict.startswith(("equal", "rows only")), verdict
