@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from quillwork.llm.common import slices, table
+from quillwork.operators.joins import lookup_join
 from quillwork.session import materialise
 
 ORDER = 4
@@ -157,8 +158,8 @@ def model_shards(model: DataFrame, shard_grams: int = SHARD_GRAMS) -> Iterator[S
 
 
 def perplexities(docs: DataFrame, model: DataFrame, shard_grams: int = SHARD_GRAMS) -> DataFrame:
-    """The rows of (doc_id, lang, model_lang, trusted, text) without text, and their perplexity, null for blank texts."""
-    key = ["doc_id", "lang", "model_lang", "trusted", "digest"]
+    """The rows of (doc_id, lang, model_lang, text) without text, and their perplexity, null for blank texts."""
+    key = ["doc_id", "lang", "model_lang", "digest"]
     rows = docs.withColumn("digest", F.md5("text"))
     parts = []
     for shard in model_shards(model, shard_grams):
@@ -176,7 +177,7 @@ def perplexities(docs: DataFrame, model: DataFrame, shard_grams: int = SHARD_GRA
                     yield pa.RecordBatch.from_arrays([*(part.column(k) for k in key), pa.array(total), pa.array(size)], names=[*key, "total", "size"])
 
         kind = rows.schema["doc_id"].dataType.simpleString()
-        parts.append(rows.select(*key, "text").mapInArrow(run, f"doc_id {kind}, lang string, model_lang string, trusted boolean, digest string, total double, size long"))
+        parts.append(rows.select(*key, "text").mapInArrow(run, f"doc_id {kind}, lang string, model_lang string, digest string, total double, size long"))
     found = parts[0]
     if len(parts) > 1:  # equal keys have equal sums, so copies are counted and put back
         numbered = None
@@ -185,7 +186,7 @@ def perplexities(docs: DataFrame, model: DataFrame, shard_grams: int = SHARD_GRA
             numbered = part if numbered is None else numbered.unionByName(part)
         found = numbered.groupBy(*key, "size").agg(F.sum("total").alias("total"), F.first("copies").alias("copies"))
         found = found.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
-    return found.select("doc_id", "lang", "model_lang", "trusted", F.when(F.col("size") > 0, F.exp(-F.col("total") / F.col("size"))).alias("perplexity"))
+    return found.select("doc_id", "lang", "model_lang", F.when(F.col("size") > 0, F.exp(-F.col("total") / F.col("size"))).alias("perplexity"))
 
 
 def quantiles(values: DataFrame, quantile: float = QUANTILE) -> DataFrame:
@@ -203,28 +204,25 @@ def classify(docs: DataFrame, trusted_ids: DataFrame, quantile: float = QUANTILE
     ``trusted_ids`` (one column) names trusted documents; three of sixteen of them, by a hash, set the thresholds and
     the others the counts.
     """
-    ids = trusted_ids.select(F.col(trusted_ids.columns[0]).alias("_id")).where("_id IS NOT NULL").distinct()
-    ids = materialise(ids.withColumn("_held", F.substring(F.md5(F.concat(F.lit("quality|"), F.col("_id").cast("string"))), 1, 1).isin(*"012")), "trusted")
+    ids = trusted_ids.select(F.col(trusted_ids.columns[0]).alias("doc_id")).where("doc_id IS NOT NULL").distinct()
+    ids = materialise(ids.withColumn("_held", F.substring(F.md5(F.concat(F.lit("quality|"), F.col("doc_id").cast("string"))), 1, 1).isin(*"012")), "trusted")
     rows = docs.select("doc_id", "text", "lang")
-    teach = rows.join(ids.where("NOT _held"), F.col("doc_id") == F.col("_id")).where("trim(text) != ''").select("lang", "text")
+    # texts move only if the ids are too many to be sent, and then each once
+    teach = lookup_join(rows.where("trim(text) != ''"), ids.where("NOT _held").select("doc_id"), ["doc_id"], spread=["text"]).select("lang", "text")
     few = materialise(teach.groupBy("lang").count(), "languages")
     own = few.where((F.col("count") >= LEAST_DOCS) & F.col("lang").isNotNull()).select(F.col("lang").alias("_lang"))
-    named = (
-        rows.join(own, F.col("lang") == F.col("_lang"), "left")
-        .join(ids.where("_held").select(F.col("_id").alias("_held_id")), F.col("doc_id") == F.col("_held_id"), "left")
-        .select("doc_id", "lang", F.coalesce("_lang", F.lit(ALL)).alias("model_lang"), F.col("_held_id").isNotNull().alias("trusted"), "text")
-    )
+    named = rows.join(own, F.col("lang") == F.col("_lang"), "left").select("doc_id", "lang", F.coalesce("_lang", F.lit(ALL)).alias("model_lang"), "text")
     if few.limit(1).count() == 0:
         blank = F.coalesce(F.trim("text"), F.lit("")) == ""
         return named.select("doc_id", "lang", F.lit(None).cast("double").alias("perplexity"), F.lit(None).cast("double").alias("threshold"), (~blank).alias("keep"))
     scored = materialise(perplexities(named, kneser_ney(teach), shard_grams), "perplexities")
-    known = scored.where("trusted AND perplexity IS NOT NULL")
+    known = scored.where("perplexity IS NOT NULL").join(ids.where("_held").select("doc_id"), "doc_id")
     # every language is also among all together; a language without held-out documents takes that threshold
-    limits = materialise(quantiles(known.select("model_lang", "perplexity").unionByName(known.select(F.lit(ALL).alias("model_lang"), "perplexity")), quantile), "thresholds")
-    own_limit = limits.withColumnRenamed("model_lang", "_m")
-    all_limit = limits.where(F.col("model_lang") == ALL).agg(F.max("threshold")).first()[0]
-    threshold = F.coalesce("threshold", F.lit(all_limit if all_limit is not None else float("inf")))
-    return scored.join(own_limit, F.col("model_lang") == F.col("_m"), "left").select(
+    every = known.select("model_lang", "perplexity").unionByName(known.select(F.lit(ALL).alias("model_lang"), "perplexity"))
+    limits = materialise(quantiles(every, quantile).withColumnRenamed("model_lang", "_m"), "thresholds")
+    for_all = limits.where(F.col("_m") == ALL).agg(F.max("threshold")).first()[0]
+    threshold = F.coalesce("threshold", F.lit(float("inf") if for_all is None else for_all))
+    return scored.join(limits, F.col("model_lang") == F.col("_m"), "left").select(
         "doc_id", "lang", "perplexity", threshold.alias("threshold"), F.coalesce(F.col("perplexity") <= threshold, F.lit(False)).alias("keep")
     )
 
