@@ -19,7 +19,7 @@ from quillwork.fixed import (
     SKIP_PROBABILITY,
 )
 from quillwork.functions.arrays import let
-from quillwork.functions.text import drop_first_line, token_containment
+from quillwork.functions.text import drop_first_line, pollution_question, token_containment
 from quillwork.operators.sampling import bypassed
 from quillwork.operators.scorers import BatchScorer, score_column
 
@@ -124,6 +124,7 @@ def label_pollution(
     prob_original: float = REPAIR_THRESHOLD,
     seed=0,
     batch_size: int = 64,
+    ask: bool = False,
 ) -> DataFrame:
     """Adds ``yes``, the probability that the rewritten text gives its prompt away.
 
@@ -132,7 +133,8 @@ def label_pollution(
     not scored at all: those get 0 and ``scored`` is false. ``scorer`` is a
     function of (prompt, text) columns, or a batch scorer that takes ``prompt`` and
     ``text`` and returns ``p``; it must give null for a null text, as it is handed
-    only the texts whose score can matter.
+    only the texts whose score can matter. With ``ask`` a batch scorer is handed the
+    whole question, whether the text holds the prompt, as ``text``: what a zero-shot model reads.
     """
     threshold = F.lit(prob_original)
     prompt = F.col("rewrite_prompt")
@@ -148,9 +150,10 @@ def label_pollution(
 
     if hasattr(scorer, "setup"):
         score = score_column(scorer, "struct<p: double>", batch_size, repeatable=False)
-        first = marked.withColumn("_p", score(prompt=prompt, text=text)["p"])
+        read = (lambda t: pollution_question(F.coalesce(prompt, F.lit("")), t)) if ask else (lambda t: t)
+        first = marked.withColumn("_p", score(prompt=prompt, text=read(text))["p"])
         second = first.withColumn("_shorter", F.when(F.col("_p") > threshold, drop_first_line("rewritten_text")))
-        third = second.withColumn("_p_shorter", score(prompt=prompt, text="_shorter")["p"])
+        third = second.withColumn("_p_shorter", score(prompt=prompt, text=read(F.col("_shorter")))["p"])
         labelled = third.withColumn("_label", outcome(F.col("_p"), F.col("_shorter"), F.col("_p_shorter")))
     else:
         # bound step by step, so that a filter on the label does not repeat the scorer many times over

@@ -150,3 +150,13 @@ def test_language_model_tells_languages_apart(spark, sf_dir, language):
     scored = L.with_language_probability(held_out, model, language=language, out_col="p").collect()
     right = sum((r["p"] > 0.5) == (r["lang"] == language) for r in scored)
     assert right / len(scored) > 0.9
+
+
+def test_batch_scorer_reads_the_question(spark):
+    def asked(batch):
+        right = batch["text"].isna() | batch["text"].str.startswith("Does the following text contain the information ")
+        return pd.DataFrame({"p": right.map({True: 0.25, False: 1.0}).where(batch["text"].notna())})
+
+    frame = spark.createDataFrame([(1, "be brief", "a\nb"), (2, None, "c")], "id long, rewrite_prompt string, rewritten_text string")
+    got = L.label_pollution(frame, ["id"], FunctionScorer(asked), 0.0, ask=True).collect()
+    assert [(r["yes"], r["rewritten_text"]) for r in sorted(got, key=lambda r: r["id"])] == [(0.25, "a\nb"), (0.25, "c")]
