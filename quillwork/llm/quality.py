@@ -146,14 +146,21 @@ class Shard:
 def model_shards(model: DataFrame, shard_grams: int = SHARD_GRAMS) -> Iterator[Shard]:
     """The model as shards, one after the other, each small enough to be sent to every task."""
     shards = max(1, -(-model.count() // shard_grams))
+    langs = sorted(r["lang"] for r in model.select("lang").distinct().collect())
+    # a row is 20 bytes on its way: one number for language, order and kind, the n-gram, and the value
+    key = ((F.array_position(F.lit(langs), F.col("lang")) - 1) * 16 + F.col("order") * 2 + F.col("kind")).cast("int")
     numbered = model.withColumn("shard", shard_number(F.col("kind"), F.col("order"), F.col("gram"), shards))
     for number in range(shards):
-        rows = numbered.where(F.col("shard").isin(number, -1)).select("lang", "order", "kind", "gram", "value").toPandas()
-        by = {}
-        for key, part in rows.groupby(["lang", "order", "kind"], sort=False):
-            gram, value = part["gram"].to_numpy().view(np.uint64), part["value"].to_numpy()
-            order = np.argsort(gram)
-            by[key] = gram[order], value[order]
+        rows = numbered.where(F.col("shard").isin(number, -1)).select(key.alias("key"), "gram", "value").toArrow()
+        keys, gram, value = (rows.column(c).to_numpy() for c in ("key", "gram", "value"))
+        del rows
+        order = np.lexsort((gram.view(np.uint64), keys))
+        keys, gram, value = keys[order], gram[order].view(np.uint64), value[order]
+        begins = np.flatnonzero(np.diff(keys, prepend=-1))
+        by = {
+            (langs[k // 16], k % 16 // 2, k % 2): (gram[a:b], value[a:b])
+            for k, a, b in zip(keys[begins].tolist(), begins.tolist(), [*begins[1:].tolist(), len(keys)])
+        }
         yield Shard(number, shards, by)
 
 
