@@ -67,15 +67,17 @@ def per_slice(work: Callable[[pa.RecordBatch], pa.RecordBatch], text: str = "tex
     return run
 
 
+def below_share(rows: DataFrame, hash_column: str, most: int, count: int) -> DataFrame:
+    """The rows whose hash (MD5 in hex) is among the smallest: about twice the ``most`` of ``count`` that are wanted."""
+    if count <= 2 * most + 100:
+        return rows
+    share = F.conv(F.substring(hash_column, 1, 8), 16, 10).cast("bigint") / F.lit(float(16**8))
+    return rows.where(share < (2.0 * most + 100) / count)
+
+
 def first_by_hash(rows: DataFrame, hash_column: str, most: int, count: int) -> DataFrame:
-    """The ``most`` rows of ``count`` with the smallest hashes (MD5 in hex).
-
-    Rows beyond twice the share wanted are dropped before the sort, so what is sorted does not grow with the table.
-    """
-    if count > 2 * most + 100:
-        share = F.conv(F.substring(hash_column, 1, 8), 16, 10).cast("bigint") / F.lit(float(16**8))
-        rows = rows.where(share < (2.0 * most + 100) / count)
-    return rows.orderBy(hash_column).limit(most)
+    """The ``most`` rows of ``count`` with the smallest hashes; what is sorted for it does not grow with the table."""
+    return below_share(rows, hash_column, most, count).orderBy(hash_column).limit(most)
 
 
 def digest_uniform(seed: int | str, purpose: str, key: Column) -> Column:
