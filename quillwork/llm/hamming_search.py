@@ -102,11 +102,13 @@ def top_k(
     open_ = materialise(wanted.select(*query).distinct(), "open")
     best = done = None
     for radius in range(BITS + 1):
-        masks = [sum(1 << b for b in bits) for bits in combinations(range(BITS), radius)]
+        # one literal that is cut into numbers once; as single literals they would burden the driver's plan
+        masks = ",".join(str(sum(1 << b for b in bits)) for bits in combinations(range(BITS), radius))
         own = F.posexplode(F.array(*[segment_of("q", s) for s in range(segments)])).alias("segment", "own")
-        probes = open_.select(*query, own).withColumn("mask", F.explode(F.lit(masks)))
-        probes = probes.select(*query, "segment", F.col("own").bitwiseXOR(F.col("mask").cast("long")).alias("value"))
-        met = probes.join(buckets, ["segment", "value"]).where(first_meeting(segments, radius))
+        probes = open_.select(*query, own).withColumn("mask", F.explode(F.split(F.lit(masks), ",").cast("array<long>")))
+        probes = probes.select(*query, "segment", F.col("own").bitwiseXOR(F.col("mask")).alias("value"))
+        # the estimate of the probes' size does not see the explode, so Spark would send them to all tasks
+        met = probes.hint("merge").join(buckets, ["segment", "value"]).where(first_meeting(segments, radius))
         rows = met.select(*query, *code, "low", "n", distance(words).alias("distance"))
         if best is not None:
             rows = rows.unionByName(best.join(open_, query).select(*rows.columns))
