@@ -174,30 +174,32 @@ def near_duplicates(
     return prints.join(classes.join(lowest, "component").select("fp", "component", "component_id"), "fp")
 
 
-def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """One document of each component: that with the smallest doc_id.
+def keep_one(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:
+    """One document of each component: that with the smallest id, or any one where no row has an id.
 
-    Rows without an id stay as they are. Of rows that share the smallest id the
-    smallest in the order of the columns stays; only rows whose id is not unique
-    are shuffled with their texts.
+    Of rows that share the smallest id, and of components without ids, the row that is smallest as
+    JSON stays. Only rows whose id is not unique are fingerprinted again with all
+    their columns, and these are combined before the shuffle. Columns are numbered meanwhile, so no name of
+    the caller's can clash.
     """
-    columns = docs.columns
-    known = materialise(near_duplicates(docs.select("doc_id", "text"), **options).where("doc_id IS NOT NULL"), "near")
-    ids = known.groupBy("doc_id").agg(
-        F.count("*").alias("_rows"), F.max(F.col("doc_id") == F.col("component_id")).alias("_first")
-    ).where("_first")
-    kept = docs.join(ids.withColumnRenamed("doc_id", "_kept"), F.col("doc_id") == F.col("_kept"))
-    repeated = with_fingerprint(kept.where("_rows > 1").select(*columns), columns, name="_print")
-    groups = known.where("doc_id = component_id").select(
-        F.col("fp").alias("_fp"), F.col("component").alias("_group"), F.col("doc_id").alias("_kept")
-    ).distinct()
+    names = [f"c{k}" for k in range(len(docs.columns))]
+    rows = docs.toDF(*names)
+    key, text = names[docs.columns.index(id_column)], names[docs.columns.index(text_column)]
+    known = materialise(near_duplicates(rows, key, text, **options), "near")
+    ids = known.groupBy("doc_id").agg(F.count("*").alias("rows"), F.max(F.col("doc_id") == F.col("component_id")).alias("first"))
+    kept = rows.join(ids.where("first"), F.col(key) == F.col("doc_id")).drop("doc_id", "first")
+    unsure = kept.where("rows > 1").select(*names).unionByName(rows.where(F.col(key).isNull()))
+    whole = F.struct(*names)
+    chosen = F.min_by(whole, F.to_json(whole)).alias("row")
+    groups = known.where("doc_id <=> component_id").select("fp", "component", "component_id").distinct()
     smallest = (
-        repeated.join(groups, (F.col("doc_id") == F.col("_kept")) & (F.col("_print") == F.col("_fp")))
-        .groupBy("_group")
-        .agg(F.min(F.struct(*columns)).alias("_row"))
-        .select("_row.*")
+        with_fingerprint(unsure, names, text, options.get("width", SHINGLE_WORDS))
+        .groupBy("fp", key).agg(chosen)
+        .join(groups.withColumnRenamed("fp", "print"), (F.col("fp") == F.col("print")) & F.col(key).eqNullSafe(F.col("component_id")))
+        .groupBy("component").agg(F.min_by("row", F.to_json("row")).alias("row"))
+        .select("row.*")
     )
-    return kept.where("_rows = 1").select(*columns).unionByName(docs.where("doc_id IS NULL")).unionByName(smallest)
+    return kept.where("rows = 1").select(*names).unionByName(smallest).toDF(*docs.columns)
 
 
 def op9_simhash(spark, sf_dir: str) -> DataFrame:

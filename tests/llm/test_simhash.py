@@ -3,6 +3,7 @@ import re
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from quillwork.llm import simhash
 
@@ -84,5 +85,17 @@ def test_keep_one(spark):
             (2, "a third text that no other row has", "z", 4), (9, "a third text that no other row has", "z", 4)]
     df = spark.createDataFrame(rows, "doc_id long, text string, fp string, component long")
     kept = sorted(map(tuple, simhash.keep_one(df).collect()), key=str)
-    assert kept == sorted([rows[1], rows[3], rows[4], rows[5]], key=str)
+    assert kept == sorted([rows[1], rows[3], rows[5]], key=str)
+    assert simhash.keep_one(df.limit(0)).count() == 0
+
+
+def test_one_of_each_component_stays(spark):
+    text, other = " ".join(f"w{k}" for k in range(200)), " ".join(f"v{k}" for k in range(200))
+    rows = [(None, other, "a")] * 6 + [(None, text, "b"), (5, text, "c"), (5, text, "c"), (5, text, "d"), (9, text, "e"), (7, None, "f"), (8, "", "g")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _kept string")
+    df = df.withColumns({"_print": F.lit(1), "fp": F.lit(2), "row": F.lit("r"), "component": F.create_map(F.lit("k"), F.col("_kept"))})
+    kept = simhash.keep_one(df.repartition(3))
+    assert kept.columns == df.columns
+    assert sorted((r["doc_id"], r["_kept"], r["component"]["k"], r["fp"]) for r in kept.collect() if r["doc_id"] is not None) == [(5, "c", "c", 2), (7, "f", "f", 2)]
+    assert [r["_kept"] for r in kept.where("doc_id IS NULL").collect()] == ["a"]
     assert simhash.keep_one(df.limit(0)).count() == 0
