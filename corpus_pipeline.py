@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillwork.llm import decontamination, mixing, near_copies, personal_data, toxicity
+from quillwork.llm import decontamination, mixing, personal_data, simhash, toxicity
 from quillwork.llm.common import table
 from quillwork.session import materialise
 
@@ -21,8 +21,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five words, similarity 0.8); of blank texts, which are copies of each other, one."""
-    return near_copies.keep_one(docs)
+    """One document of each component of fingerprints (three words, 2 of 64 bits); blank texts are one component."""
+    return simhash.keep_one(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,7 +47,7 @@ STAGES = [
     ("personal_data", redact),
     ("mixing", mix_sources),
 ]
-# Three stages rest on trained models and on minimum hashes, which SQL cannot express; tests/llm/test_pipeline.py
+# Two stages rest on trained models and one on 64-bit hashes, which SQL cannot express; tests/llm/test_pipeline.py
 # holds the stages against plain versions.
 ORACLE_SQL = None
 
