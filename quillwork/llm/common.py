@@ -20,6 +20,7 @@ SCHEMAS = {
     "benchmark": "item_id bigint, text string",
     "embeddings": "vec_id bigint, embedding array<float>, label int",
     "labels": "doc_id bigint, quality int, toxic int",
+    "pages": "page_id bigint, url string, html string",
 }
 
 
