@@ -13,4 +13,4 @@ def test_query_equals_its_sql(spark, sf_dir, name):
 
 def test_all_are_registered():
     assert {*QUERIES, "pipeline"} <= set(entry.queries())
-    assert [name.split("_")[0] for name in QUERIES] == [f"op{n}" for n in range(1, 11)]
+    assert [name.split("_")[0] for name in QUERIES] == [f"op{n}" for n in range(1, 14)]
