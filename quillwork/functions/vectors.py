@@ -21,7 +21,7 @@ def _column(value) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
-def _matrix(vectors: pa.Array) -> np.ndarray:
+def matrix(vectors: pa.Array) -> np.ndarray:
     """A list array as a float64 matrix; all vectors must have one length, whatever batch they are in.
 
     A null vector is a row of NaN, so what is computed from it can be told from a score.
@@ -63,7 +63,7 @@ def cosine(left, right) -> Column:
 
     @F.arrow_udf("double")
     def cosine_(a: pa.Array, b: pa.Array) -> pa.Array:
-        return _scores(_cosines(_matrix(a), _matrix(b)), a, b)
+        return _scores(_cosines(matrix(a), matrix(b)), a, b)
 
     return cosine_(_column(left), _column(right))
 
@@ -73,7 +73,7 @@ def cosine_of_cubes(left, right) -> Column:
 
     @F.arrow_udf("double")
     def cosine_of_cubes_(a: pa.Array, b: pa.Array) -> pa.Array:
-        return _scores(_cosines(_matrix(a) ** 3, _matrix(b) ** 3), a, b)
+        return _scores(_cosines(matrix(a) ** 3, matrix(b) ** 3), a, b)
 
     return cosine_of_cubes_(_column(left), _column(right))
 
@@ -91,7 +91,7 @@ def candidate_cosines(candidates, target) -> Column:
     def candidate_cosines_(candidates_: pa.Array, target_: pa.Array) -> pa.Array:
         counts = np.asarray(pc.fill_null(candidates_.value_lengths(), 0), dtype=np.int64)
         flat = candidates_.flatten()
-        left, right = _matrix(flat), _matrix(target_)[np.repeat(np.arange(len(counts)), counts)]
+        left, right = matrix(flat), matrix(target_)[np.repeat(np.arange(len(counts)), counts)]
         plain, cubed = (_scores(_cosines(left**n, right**n), flat) for n in (1, 3)) if len(left) else (pa.array([], pa.float64()),) * 2
         offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
         missing = pc.or_(candidates_.is_null(), target_.is_null())
@@ -117,13 +117,25 @@ def nearest(vector, centres: list[list[float]]) -> Column:
 CENTRE_BYTES = 8 << 20
 
 
+def closest(rows: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(squared distance, place) of the nearest centre of each row.
+
+    Distances are compared to nine decimals, and the first centre wins a tie: so
+    rounding does not decide between centres that are equally far.
+    """
+    best, at = np.full(len(rows), np.nan), np.zeros(len(rows), np.int64)
+    for place, centre in enumerate(centres):
+        distance = np.round(((rows - centre) ** 2).sum(axis=1), 9)
+        nearer = np.flatnonzero(~(distance >= best) & ~np.isnan(distance))
+        best[nearer], at[nearer] = distance[nearer], place
+    return best, at
+
+
 def _nearest_in(vector: Column, table: np.ndarray, begin: int) -> Column:
     @F.arrow_udf("struct<distance: double, number: int>")
     def nearest_(vectors: pa.Array) -> pa.Array:
-        rows = _matrix(vectors)
-        distances = np.stack([((rows - centre) ** 2).sum(axis=1) for centre in table], axis=1)
-        at = distances.argmin(axis=1)
-        found = [pa.array(distances[np.arange(len(at)), at]), pa.array((at + begin).astype(np.int32))]
+        distances, at = closest(matrix(vectors), table)
+        found = [pa.array(distances), pa.array((at + begin).astype(np.int32))]
         return pa.StructArray.from_arrays(found, names=["distance", "number"], mask=vectors.is_null())
 
     return nearest_(vector)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quillwork.fixed import EMPTY_GENERATION, REWRITE_TEMPLATES
 from quillwork.functions.text import fill_one_of, instruction, or_empty, remove_echo
+from quillwork.operators.ranking import same_key
 from quillwork.operators.sampling import choice
 from quillwork.operators.scorers import BatchScorer, with_scores
 
@@ -68,8 +69,24 @@ def generate_candidates(
 
 
 def attach_generations(df: DataFrame, generations: DataFrame, key: list[str], model: str, params: dict) -> DataFrame:
-    """Adds ``rewritten_text`` from a table of finished generations, by row key."""
-    return non_empty(stamp(df.join(generations.select(*key, "rewritten_text"), key), model, params))
+    """Adds ``rewritten_text`` from a table of finished generations, by row key; nulls are keys too.
+
+    A row whose generation is missing keeps a null, which is no failure mark, and is
+    counted by ``without_generation``. A key with several different generations is an error, found when the rows
+    are read; equal ones are one.
+    """
+    finished = generations.groupBy(*key).agg(
+        F.count_distinct("rewritten_text").alias("_kinds"), F.max("rewritten_text").alias("rewritten_text")
+    )
+    told = F.when(F.col("_kinds") > 1, F.raise_error(F.lit("a key has several generations"))).otherwise(F.col("rewritten_text"))
+    unique = finished.select(*[F.col(c).alias(f"_of_{c}") for c in key], told.alias("rewritten_text"))
+    kept = [c for c in df.columns if c != "rewritten_text"]
+    return non_empty(stamp(df.select(*kept).join(unique, same_key(key), "left").select(*kept, "rewritten_text"), model, params))
+
+
+def without_generation(df: DataFrame) -> DataFrame:
+    """Number of rows that got no generation, as a one-row frame."""
+    return df.agg(F.count_if(F.col("rewritten_text").isNull()).alias("missing"))
 
 
 def regroup_rows(df: DataFrame, key: list[str], position: str, value: str, n: int, out_col: str = "group") -> DataFrame:

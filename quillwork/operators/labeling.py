@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
+from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import NaiveBayes
-from pyspark.ml.feature import HashingTF, StringIndexer
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quillwork.fixed import (
     ALLOWED_LABELS,
@@ -20,42 +19,88 @@ from quillwork.fixed import (
 )
 from quillwork.functions.arrays import let
 from quillwork.functions.text import drop_first_line, pollution_question, token_containment
+from quillwork.operators.joins import Size, lookup_join
 from quillwork.operators.sampling import bypassed
-from quillwork.operators.scorers import BatchScorer, score_column
+from quillwork.operators.scorers import BatchScorer, rescored_column
+from quillwork.session import materialise
 
 # -- language ---------------------------------------------------------------
 
+LANGUAGE_DIGITS = 4  # 16**4 = 65,536 token buckets
 
-def _with_tokens(df: DataFrame, text_col: str) -> DataFrame:
-    return df.withColumn("_tokens", F.split(F.lower(text_col), " ", -1))
+
+@dataclass(frozen=True)
+class LanguageModel:
+    """Naive Bayes as a table: for each token bucket, ln(count + 1) in every language."""
+
+    shares: DataFrame  # bucket, counts: array<double> in the order of ``languages``
+    languages: tuple[str, ...]
+    log_priors: tuple[float, ...]
+    log_totals: tuple[float, ...]  # ln(tokens + buckets)
+    digits: int
+
+
+def _token_buckets(df: DataFrame, column: str, text_col: str, digits: int) -> DataFrame:
+    """(column, _bucket): one row per token, and one with a null bucket for the text itself."""
+    told = F.concat(F.split(F.lower(text_col), " ", -1), F.array(F.lit(None).cast("string")))
+    return df.select(column, F.explode(told).alias("_token")).select(column, F.substring(F.md5("_token"), 1, digits).alias("_bucket"))
 
 
 def train_language_model(
-    df: DataFrame, text_col: str = "original_text", label_col: str = "lang", features: int = 1 << 16
-) -> PipelineModel:
-    """Naive Bayes over hashed word counts of the whole text.
+    df: DataFrame, text_col: str = "original_text", label_col: str = "lang", digits: int = LANGUAGE_DIGITS
+) -> LanguageModel:
+    """Naive Bayes over token counts of the whole text, smoothed by one.
 
-    Fitting is one pass that sums term counts per language, combined before the
-    shuffle; what reaches the driver is languages x features numbers.
+    Fitting is one pass that counts tokens by bucket and language, combined before the shuffle. The counts stay a written
+    table; three numbers a language reach the driver. Rows without text or label teach nothing.
     """
-    stages = [
-        StringIndexer(inputCol=label_col, outputCol="_label", stringOrderType="alphabetAsc"),
-        HashingTF(numFeatures=features, inputCol="_tokens", outputCol="_features"),
-        NaiveBayes(featuresCol="_features", labelCol="_label", probabilityCol="_probability"),
-    ]
-    return Pipeline(stages=stages).fit(_with_tokens(df, text_col).select(label_col, "_tokens"))
+    known = df.where(F.col(text_col).isNotNull() & F.col(label_col).isNotNull())
+    labelled = _token_buckets(known.withColumn("_label", F.col(label_col).cast("string")), "_label", text_col, digits)
+    counts = materialise(labelled.groupBy("_label", "_bucket").agg(F.count("*").alias("_n")), "tokens")
+    sizes = counts.groupBy("_label").agg(
+        F.sum(F.when(F.col("_bucket").isNull(), F.col("_n"))).alias("texts"),
+        F.coalesce(F.sum(F.when(F.col("_bucket").isNotNull(), F.col("_n"))), F.lit(0)).alias("tokens"),
+    ).orderBy("_label").collect()
+    if not sizes:
+        raise ValueError("no text has a language")
+    languages = tuple(r["_label"] for r in sizes)
+    held = F.map_from_entries(F.collect_list(F.struct("_label", "_n")))
+    listed = F.transform(F.array(*map(F.lit, languages)), lambda name: F.ln(F.coalesce(F.try_element_at("_held", name), F.lit(0)) + F.lit(1.0)))
+    shares = counts.where("_bucket IS NOT NULL").groupBy("_bucket").agg(held.alias("_held")).select("_bucket", listed.alias("_counts"))
+    every = sum(r["texts"] for r in sizes)
+    return LanguageModel(
+        materialise(shares, "language_model"), languages, tuple(math.log(r["texts"] / every) for r in sizes),
+        tuple(math.log(r["tokens"] + 16**digits) for r in sizes), digits,
+    )
 
 
 def with_language_probability(
-    df: DataFrame, model: PipelineModel, text_col: str = "original_text", language: str = "en", out_col: str = "en"
+    df: DataFrame, model: LanguageModel, text_col: str = "original_text", language: str = "en", out_col: str = "en"
 ) -> DataFrame:
-    """Adds P(language). Labels are not needed: only the feature and model stages run."""
-    indexer, *stages = model.stages
-    scored = _with_tokens(df, text_col)
-    for stage in stages:
-        scored = stage.transform(scored)
-    number = indexer.labels.index(language)
-    return scored.withColumn(out_col, vector_to_array("_probability")[number]).select(*df.columns, out_col)
+    """Adds P(language), null for a null text.
+
+    Tokens meet the model's table, and their log shares are summed per text before the shuffle, so what is shuffled is a row a
+    text. Equal texts are one group: their sums are divided by their number. The sums are written; the
+    rows then meet them by the text's digest.
+    """
+    number = model.languages.index(language)
+    rows = df.withColumn("_text", F.md5(text_col))
+    tokens = _token_buckets(rows.where(F.col(text_col).isNotNull()), "_text", text_col, model.digits)
+    bound = Size(16**model.digits, 16**model.digits * (8 * len(model.languages) + 64))
+    met = lookup_join(tokens, model.shares, ["_bucket"], spread=["_text"], how="left", size=bound)
+    sums = met.groupBy("_text").agg(
+        F.count("_bucket").alias("_n"), F.count_if(F.col("_bucket").isNull()).alias("_rows"),
+        *[F.coalesce(F.sum(F.get("_counts", F.lit(i))), F.lit(0.0)).alias(f"_of_{i}") for i in range(len(model.languages))],
+    )
+    scores = [
+        F.lit(prior) + (F.col(f"_of_{i}") - F.col("_n") * F.lit(total)) / F.col("_rows")
+        for i, (prior, total) in enumerate(zip(model.log_priors, model.log_totals))
+    ]
+    shares = [F.exp(F.least(s - F.col("_own"), F.lit(700.0))) for s in scores]
+    told = materialise(sums.withColumn("_own", scores[number]).select("_text", (F.lit(1.0) / sum(shares[1:], shares[0])).alias("_p")), "language")
+    kept = [c for c in df.columns if c != out_col]
+    spread = [f.name for f in df.schema if isinstance(f.dataType, T.AtomicType) and f.name != text_col] or ["_text"]
+    return lookup_join(rows, told, ["_text"], spread=spread, how="left").select(*kept, F.col("_p").alias(out_col))
 
 
 def english_only(df: DataFrame, threshold: float = ENGLISH_THRESHOLD) -> DataFrame:
@@ -131,9 +176,9 @@ def label_pollution(
     A text above ``prob_original`` is scored again without its first line, and
     that text is kept if it scores lower. A share of the rows, chosen by key, is
     not scored at all: those get 0 and ``scored`` is false. ``scorer`` is a
-    function of (prompt, text) columns, or a batch scorer that takes ``prompt`` and
-    ``text`` and returns ``p``; it must give null for a null text, as it is handed
-    only the texts whose score can matter. With ``ask`` a batch scorer is handed the
+    function of (prompt, text) columns, which must give null for a null text, or a batch scorer that takes ``prompt`` and
+    ``text`` and returns ``p``. A batch scorer is set up once per task for both readings, and is handed
+    no null texts and only those shorter texts whose score can matter. With ``ask`` a batch scorer is handed the
     whole question, whether the text holds the prompt, as ``text``: what a zero-shot model reads.
     """
     threshold = F.lit(prob_original)
@@ -149,12 +194,11 @@ def label_pollution(
         )
 
     if hasattr(scorer, "setup"):
-        score = score_column(scorer, "struct<p: double>", batch_size, repeatable=False)
         read = (lambda t: pollution_question(F.coalesce(prompt, F.lit("")), t)) if ask else (lambda t: t)
-        first = marked.withColumn("_p", score(prompt=prompt, text=read(text))["p"])
-        second = first.withColumn("_shorter", F.when(F.col("_p") > threshold, drop_first_line("rewritten_text")))
-        third = second.withColumn("_p_shorter", score(prompt=prompt, text=read(F.col("_shorter")))["p"])
-        labelled = third.withColumn("_label", outcome(F.col("_p"), F.col("_shorter"), F.col("_p_shorter")))
+        shorter = F.when(F.col("scored"), drop_first_line("rewritten_text"))
+        score = rescored_column(scorer, "p", prob_original, batch_size)
+        scored = marked.withColumn("_p", score({"prompt": prompt, "text": read(text)}, {"text": read(shorter)}))
+        labelled = scored.withColumn("_label", outcome(F.col("_p.first"), shorter, F.col("_p.second")))
     else:
         # bound step by step, so that a filter on the label does not repeat the scorer many times over
         def rescored(p: Column) -> Column:

@@ -64,6 +64,47 @@ def score_column(scorer: BatchScorer, schema: str, batch_size: int = 64, repeata
     return apply
 
 
+def rescored_column(scorer: BatchScorer, output: str, threshold: float, batch_size: int = 64):
+    """A function from input columns to a struct (first, second) of two scores, in one pass.
+
+    The scorer is set up once per task. Rows whose ``text`` is null are not scored. Only rows that score above
+    ``threshold`` are scored again, with the second inputs in place of those of the same name; they
+    are gathered, so that a batch is full before the scorer sees it.
+    """
+
+    @F.pandas_udf("struct<first: double, second: double>")
+    def score(first: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        scorer.setup()
+
+        def scores(rows: pd.DataFrame) -> pd.Series:
+            told = rows[rows["text"].notna()]
+            parts = [
+                scorer(told.iloc[at : at + batch_size].reset_index(drop=True))[output] for at in range(0, len(told), batch_size)
+            ]
+            out = pd.Series(float("nan"), index=rows.index)
+            if parts:
+                out.loc[told.index] = pd.concat(parts).to_numpy(dtype=float, na_value=float("nan"))
+            return out
+
+        try:
+            for frame in first:
+                names = [c for c in frame.columns if not c.startswith("again_")]
+                p = scores(frame[names])
+                above = frame[p > threshold]
+                again = pd.DataFrame({n: above[f"again_{n}" if f"again_{n}" in frame else n] for n in names}, index=above.index)
+                yield pd.DataFrame({"first": p, "second": scores(again).reindex(frame.index)})
+        finally:
+            scorer.cleanup()
+
+    score = score.asNondeterministic()
+
+    def apply(inputs: dict[str, Column | str], again: dict[str, Column | str]) -> Column:
+        columns = [*inputs.items(), *((f"again_{name}", c) for name, c in again.items())]
+        return score(F.struct(*[(F.col(c) if isinstance(c, str) else c).alias(name) for name, c in columns]))
+
+    return apply
+
+
 def with_scores(
     df: DataFrame, scorer: BatchScorer, inputs: dict[str, Column | str], schema: str, batch_size: int = 64,
     repeatable: bool = True,

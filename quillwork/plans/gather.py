@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.ml.clustering import KMeansModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillwork.fixed import CLUSTER_SEED, CLUSTERS, MAX_WORDS, PROMPTS_PER_TEXT
-from quillwork.operators.clustering import fit_clusters, with_cluster, with_text_vector
+from quillwork.operators.clustering import Clusters, fit_clusters, fit_text_weights, text_embedder, with_cluster
 from quillwork.operators.labeling import with_topic_label
 from quillwork.operators.prompts import distinct_prompts, generated_prompts, with_prompt_metadata
 from quillwork.operators.sampling import draw_prompts, prompt_pool, split_of
@@ -30,14 +29,18 @@ def row_counts(df: DataFrame, by: list[str]) -> DataFrame:
 
 
 def build_prompts(
-    triples: DataFrame, k: int = CLUSTERS, seed: int = CLUSTER_SEED, with_vectors=with_text_vector
-) -> tuple[DataFrame, KMeansModel]:
-    """Distinct prompts of the triples and the catalogue, with vectors and clusters; vectors are made once."""
+    triples: DataFrame, k: int = CLUSTERS, seed: int = CLUSTER_SEED, embed=None
+) -> tuple[DataFrame, Clusters]:
+    """Distinct prompts of the triples and the catalogue, with vectors and clusters; vectors are made once.
+
+    ``embed(df, text_col, out_col)`` adds the vectors; unless given they are token counts weighted by how few prompts hold a token.
+    """
     prompts = distinct_prompts(
         triples.select("source", "rewrite_prompt"), generated_prompts(triples.sparkSession)
     )
-    vectors = materialise(with_vectors(prompts, "rewrite_prompt"), "vectors")
-    model = fit_clusters(vectors, k=k, seed=seed)
+    embed = embed or text_embedder(fit_text_weights(prompts, "rewrite_prompt"))
+    vectors = materialise(embed(prompts, "rewrite_prompt", "embeddings"), "vectors")
+    model = fit_clusters(vectors, k=k, seed=seed, key=["source", "rewrite_prompt"])
     return with_cluster(vectors, model), model
 
 

@@ -45,10 +45,11 @@ def select_texts(
     """Sample per split, keep English, keep allowed topics: cheap steps first.
 
     ``with_english`` adds the column ``en``. The seed is the version unless given,
-    so each version samples other rows.
+    so each version samples other rows. The sample is written, as a filter on its scores would else be pushed
+    below it and every text be scored.
     """
     seed = version if seed is None else seed
-    sampled = sample_per_split(templates, num_samples, key, seed, requested_splits(split))
+    sampled = materialise(sample_per_split(templates, num_samples, key, seed, requested_splits(split)), "sample")
     english = english_only(with_english(sampled), prob_en)
     return allowed_topics(with_topic_label(english, topic_logits), labels)
 

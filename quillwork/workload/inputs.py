@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillwork.functions.text import word_count
+from quillwork.operators.labeling import LanguageModel, train_language_model
 from quillwork.operators.prompts import distinct_prompts, generated_prompts
 from quillwork.operators.sampling import draw_prompts, prompt_pool, split_of
 from quillwork.session import widen
@@ -132,6 +133,12 @@ def english_share(text_col: str) -> Column:
     return F.coalesce(F.try_divide(hits(COMMON_WORDS["en"]), hits(every)), F.lit(0.0))
 
 
+def language_model(spark: SparkSession, sf_dir: str) -> LanguageModel:
+    """The language model of the documents of the train split."""
+    documents = texts(spark, sf_dir, heavy=True, row_key=("doc_id", "lang"))
+    return train_language_model(documents.where(F.col("split") == "train"))
+
+
 def vector_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``embeddings`` in groups of five: place 0 is the target, 1 to 4 the candidates."""
     return table(spark, sf_dir, "embeddings").select(

@@ -310,6 +310,66 @@ TABLES = {
 }
 
 
+def _bucket(token: str, digits: int) -> str:
+    return f"substr(md5({token}), 1, {digits})"
+
+
+TABLES |= {
+    "tokens": f"""
+        SELECT doc_id, {_bucket('t', 4)} AS bucket, count(*) AS n FROM (
+            SELECT doc_id, unnest(string_split(lower(original_text), ' ')) AS t FROM texts) GROUP BY ALL""",
+    "taught": """
+        SELECT d.lang, k.bucket, sum(k.n) AS n FROM tokens k JOIN documents d USING (doc_id) JOIN texts t USING (doc_id)
+        WHERE t.split = 'train' AND d.lang IS NOT NULL GROUP BY ALL""",
+    "languages": """
+        SELECT lang, ln(count(*) / sum(count(*)) OVER ()) AS prior,
+               ln((SELECT sum(n) FROM taught x WHERE x.lang = d.lang) + 65536) AS total
+        FROM documents d JOIN texts t USING (doc_id) WHERE t.split = 'train' AND lang IS NOT NULL GROUP BY lang""",
+    "language_sums": """
+        SELECT k.doc_id, l.lang, any_value(l.prior) - sum(k.n) * any_value(l.total) + sum(k.n * ln(coalesce(m.n, 0) + 1)) AS score
+        FROM tokens k JOIN languages l ON true LEFT JOIN taught m ON m.lang = l.lang AND m.bucket = k.bucket GROUP BY k.doc_id, l.lang""",
+    "english": """
+        SELECT a.doc_id, 1 / sum(exp(least(b.score - a.score, 700.0::DOUBLE))) AS en
+        FROM language_sums a JOIN language_sums b USING (doc_id) WHERE a.lang = 'en' GROUP BY a.doc_id""",
+    "prompt_tokens": f"""
+        SELECT source, rewrite_prompt, ('0x' || bucket)::INTEGER AS bucket, count(*) AS n FROM (
+            SELECT source, rewrite_prompt, {_bucket('t', 2)} AS bucket FROM (
+                SELECT source, rewrite_prompt, unnest(string_split(lower(rewrite_prompt), ' ')) AS t FROM prompts)) GROUP BY ALL""",
+    "prompt_shares": """
+        SELECT source, rewrite_prompt, bucket, (w / sqrt(sum(w * w) OVER (PARTITION BY source, rewrite_prompt)))::FLOAT::DOUBLE AS share
+        FROM (SELECT source, rewrite_prompt, bucket, n * ln(((SELECT count(*) FROM prompts) + 1)
+                     / (count(*) OVER (PARTITION BY bucket) + 1)::DOUBLE) AS w FROM prompt_tokens)
+        WHERE w <> 0""",
+    "prompt_vectors": f"""
+        SELECT p.source, p.rewrite_prompt, list(coalesce(s.share, 0.0::DOUBLE) ORDER BY b.bucket) AS v,
+               any_value({digest('centre|42', 'p.source', 'p.rewrite_prompt')}) AS d
+        FROM prompts p, range(256) b(bucket) LEFT JOIN prompt_shares s
+          ON s.source = p.source AND s.rewrite_prompt = p.rewrite_prompt AND s.bucket = b.bucket
+        GROUP BY p.source, p.rewrite_prompt""",
+    "centres_0": """
+        SELECT row_number() OVER (ORDER BY d) - 1 AS cluster, v AS c FROM (
+            SELECT v, min(d) AS d FROM prompt_vectors GROUP BY v ORDER BY d LIMIT 10)""",
+}
+
+
+def _assigned(centres: str) -> str:
+    return f"""
+        SELECT source, rewrite_prompt, v, cluster FROM (
+            SELECT p.source, p.rewrite_prompt, p.v, k.cluster,
+                   row_number() OVER (PARTITION BY p.source, p.rewrite_prompt ORDER BY round(list_distance(p.v, k.c) ** 2, 9), k.cluster) AS place
+            FROM prompt_vectors p JOIN {centres} k ON true) WHERE place = 1"""
+
+
+KMEANS_ROUNDS = 20
+for _round in range(1, KMEANS_ROUNDS + 1):
+    TABLES[f"assigned_{_round}"] = _assigned(f"centres_{_round - 1}")
+    TABLES[f"centres_{_round}"] = f"""
+        SELECT k.cluster, coalesce(m.c, k.c) AS c FROM centres_{_round - 1} k LEFT JOIN (
+            SELECT cluster, list(x ORDER BY n) AS c FROM (
+                SELECT cluster, n, avg(x) AS x FROM (
+                    SELECT cluster, unnest(v) AS x, unnest(range(256)) AS n FROM assigned_{_round}) GROUP BY ALL) GROUP BY cluster) m USING (cluster)"""
+
+
 def _features(text: str) -> str:
     return f"[length({text})::DOUBLE, {words(text)}, {marks(text, ',')}, {marks(text, '.')}, 1]"
 
@@ -336,6 +396,11 @@ def query(select: str) -> str:
     return (f"WITH {', '.join(parts)} " if parts else "") + select
 
 
+def _tenths(text: str) -> str:
+    question = f"concat('Does the following text contain the information ', rewrite_prompt, '? ', {text})"
+    return f"(({words(question)} % 10) / 10.0::DOUBLE)"
+
+
 def _instruction(prompt: str) -> str:
     return fill(INSTRUCTION_TEMPLATE, prompt=prompt)
 
@@ -444,11 +509,11 @@ ORACLE_SQL = {
     "topic_label": query(
         f"SELECT doc_id, most_likely_label, {_rounded_topics} FROM ({_topics('texts', 'original_text')})"
     ),
-    "language_score": query(
-        "SELECT split, count(*) AS rows, true AS agrees FROM (SELECT t.split FROM texts t) GROUP BY split"
-    ),
+    "language_score": query("SELECT t.doc_id, t.split, round(e.en, 6) AS en FROM texts t JOIN english e ON e.doc_id = t.doc_id"),
+    "text_vectors": query("SELECT source, rewrite_prompt, bucket, round(share, 6) AS share FROM prompt_shares"),
     "prompt_clusters": query(
-        "SELECT source, rewrite_prompt, 256::INTEGER AS size, 1.0::DOUBLE AS norm, true AS nearest FROM prompts"
+        "SELECT source, rewrite_prompt, 256::INTEGER AS size, 1.0::DOUBLE AS norm, cluster::INTEGER AS cluster, cluster::INTEGER AS nearest"
+        f" FROM ({_assigned(f'centres_{KMEANS_ROUNDS}')})"
     ),
     "batch_generate": query(
         "SELECT doc_id, concat(' -> ', w, ' words') AS rewritten_text, 'echo' AS model, 100::INTEGER AS output_len,"
@@ -459,9 +524,8 @@ ORACLE_SQL = {
     "table_generate": """
         SELECT u.conv_id, u.turn, u.text AS original_text, a.text AS rewritten_text, 'table' AS model,
                100::INTEGER AS output_len
-        FROM conversations u JOIN conversations a
-          ON a.conv_id = u.conv_id AND a.turn = u.turn + 1 AND u.role = 'user' AND a.role = 'assistant'
-        WHERE length(a.text) % 5 <> 0 AND a.text <> 'EMPTY'""",
+        FROM conversations u LEFT JOIN conversations a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1 AND a.role = 'assistant'
+        WHERE u.role = 'user' AND (a.text IS NULL OR length(a.text) % 5 <> 0 AND a.text <> 'EMPTY')""",
     "pollution_repair": query(
         "SELECT conv_id, turn, rewritten_text, round(yes, 6) AS yes, scored FROM labelled WHERE yes < 0.5::DOUBLE"
     ),
@@ -469,6 +533,11 @@ ORACLE_SQL = {
         "SELECT conv_id, turn, concat('Does the following text contain the information ', rewrite_prompt, '? ',"
         " rewritten_text) AS question FROM polluted"
     ),
+    "pollution_batch": query(
+        "SELECT conv_id, turn, CASE WHEN scored AND p_again < p_first AND p_first > 0.7::DOUBLE THEN shorter ELSE rewritten_text END AS rewritten_text,"
+        " CASE WHEN NOT scored THEN 0.0::DOUBLE WHEN p_again < p_first AND p_first > 0.7::DOUBLE THEN p_again ELSE p_first END AS yes, scored"
+        f" FROM (SELECT *, {_tenths('rewritten_text')} AS p_first, {_tenths('shorter')} AS p_again FROM pollution_scores)"
+    ),
     "versions_union": query("SELECT * REPLACE (round(yes, 6) AS yes) FROM versions WHERE yes < 0.5::DOUBLE"),
     "latest_revision": query(
         "SELECT version, 1::INTEGER AS revision, split, count(*) AS rows, true AS refused"
@@ -567,13 +636,13 @@ ORACLE_SQL = {
         f"SELECT *, {_rewrite_input('rewrite_index', 'rewrite_prompt', 'original_text')} AS input FROM ("
         f"SELECT *, {pick(3, 'template|0', 'doc_id', 'draw_no')} AS rewrite_index FROM ("
         + _topics(
-            f"(SELECT *, {_english('original_text')} AS en FROM ("
+            "(SELECT s.*, e.en FROM ("
             + _sampled(
                 "(SELECT d.doc_id, d.draw_no, d.rewrite_prompt, t.original_text, t.split"
                 " FROM draws d JOIN texts t ON t.doc_id = d.doc_id)",
                 1500, 1, "doc_id, draw_no",
             )
-            + "))",
+            + ") s JOIN english e ON e.doc_id = s.doc_id)",
             "original_text",
         )
         + ") WHERE en > 0.95 AND most_likely_label IN ('tweet', 'news', 'story')))) WHERE w % 7 <> 0))"

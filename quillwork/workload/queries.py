@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillwork.fixed import MAX_WORDS
@@ -11,14 +11,13 @@ from quillwork.functions.arrays import regroup
 from quillwork.functions.chat import stack_messages
 from quillwork.functions.text import after_last, join_texts, or_empty, pollution_question, strip, word_count
 from quillwork.functions.vectors import cosine
-from quillwork.operators.clustering import centres_frame, mean_vectors, with_nearest_centre
+from quillwork.operators.clustering import centres_frame, fit_text_weights, mean_vectors, with_nearest_centre, with_text_vector
 from quillwork.operators.formatting import formatted, with_marker
 from quillwork.operators.generation import attach_generations, generate_texts, regroup_rows, with_generation_input
 from quillwork.operators.labeling import (
     allowed_topics,
     english_only,
     label_pollution,
-    train_language_model,
     unpolluted,
     with_language_probability,
     with_topic_label,
@@ -180,12 +179,10 @@ def topic_label(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def language_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """P(English) for every document from a model of the train split; per split, whether nine of ten decisions agree with ``lang``."""
+    """P(English) of every document from a model of the train split."""
     documents = inputs.texts(spark, sf_dir, heavy=True, row_key=("doc_id", "lang"))
-    model = train_language_model(documents.where(F.col("split") == "train"))
-    agree = ((F.col("en") > 0.5) == (F.col("lang") == "en")).cast("double")
-    scored = with_language_probability(documents, model)
-    return scored.groupBy("split").agg(F.count("*").alias("rows"), (F.avg(agree) >= 0.9).alias("agrees"))
+    scored = with_language_probability(documents, inputs.language_model(spark, sf_dir))
+    return scored.select("doc_id", "split", F.round("en", 6).alias("en"))
 
 
 def _echoing_generator(batch: pd.DataFrame) -> pd.DataFrame:
@@ -227,10 +224,11 @@ def table_generate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rewrite_job(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Select, render, generate, label and repair, as one chain of jobs."""
+    """Select, render, generate, label and repair, as one chain of jobs; English by the language model."""
+    model = inputs.language_model(spark, sf_dir)
     templates = add_templates(inputs.texts(spark, sf_dir, heavy=True), inputs.prompts(spark, sf_dir), ["doc_id"])
     selected = select_texts(
-        templates, ["doc_id", "draw_no"], lambda df: df.withColumn("en", inputs.english_share("original_text")),
+        templates, ["doc_id", "draw_no"], lambda df: with_language_probability(df, model),
         inputs.topic_logits("original_text", F.col("original_length")), version=1, split="all",
     )
     rewritten = rewrite_texts(
@@ -256,6 +254,18 @@ def pollution_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _counting_scorer(batch: pd.DataFrame) -> pd.DataFrame:
+    """The last digit of the word count of what a zero-shot model would read, as tenths."""
+    return pd.DataFrame({"p": (batch["text"].str.count(" ") + 1) % 10 / 10})
+
+
+def pollution_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch scorer that reads the whole question, set up once per task for both readings."""
+    polluted = inputs.polluted_triples(spark, sf_dir)
+    labelled = label_pollution(polluted, PAIR_KEY, FunctionScorer(_counting_scorer), skip_prob=0.25, ask=True)
+    return labelled.select(*PAIR_KEY, "rewritten_text", F.round("yes", 6).alias("yes"), "scored")
+
+
 def _written_versions(spark: SparkSession, sf_dir: str) -> VersionedTables:
     """Two versions of labelled texts; one was revised, one has no validation split."""
     labelled = materialise(
@@ -362,22 +372,29 @@ def run_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def nearest_centre(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nearest of the mean vectors of the labels, numbered in the labels' order."""
     vectors = table(spark, sf_dir, "embeddings")
-    means = [row["center"] for row in mean_vectors(vectors, "label", "embedding").orderBy("label").collect()]
+    number = F.row_number().over(Window.orderBy("label")) - 1  # one row a label
+    means = mean_vectors(vectors, "label", "embedding").withColumn("cluster", number)
     return with_nearest_centre(vectors, means, "embedding").select("vec_id", "label", "cluster")
 
 
+def text_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prompts' weighted vectors, one row per bucket that is not zero."""
+    prompts = inputs.prompts(spark, sf_dir)
+    vectors = with_text_vector(prompts, "rewrite_prompt", weights=fit_text_weights(prompts, "rewrite_prompt"))
+    long = vectors.select("source", "rewrite_prompt", F.posexplode("embeddings").alias("bucket", "share"))
+    return long.where("share <> 0").withColumn("share", F.round(F.col("share").cast("double"), 6))
+
+
 def prompt_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The prompt table and the centres, written and read back: each prompt's cluster is that of its nearest centre."""
+    """The prompt table and the centres, written and read back; each prompt's cluster, and that of the stored centres."""
     clustered, model = build_prompts(inputs.benchmark_prompts(spark, sf_dir))
     folder = new_folder(spark, "prompts")
     write_table(clustered, f"{folder}/prompts")
     write_table(centres_frame(spark, model), f"{folder}/centres")
-    centres = [row["center"] for row in read_prompts(spark, f"{folder}/centres").orderBy("cluster").collect()]
     norm = F.round(F.sqrt(F.aggregate("embeddings", F.lit(0.0), lambda n, x: n + x * x)), 4)
-    prompts = with_nearest_centre(read_prompts(spark, f"{folder}/prompts"), centres, "embeddings", "_nearest")
+    prompts = with_nearest_centre(read_prompts(spark, f"{folder}/prompts"), read_prompts(spark, f"{folder}/centres"), "embeddings", "_nearest")
     return prompts.select(
-        "source", "rewrite_prompt", F.size("embeddings").alias("size"), norm.alias("norm"),
-        (F.col("cluster") == F.col("_nearest")).alias("nearest"),
+        "source", "rewrite_prompt", F.size("embeddings").alias("size"), norm.alias("norm"), "cluster", F.col("_nearest").alias("nearest"),
     )
 
 
@@ -524,9 +541,9 @@ QUERIES = {
         downloaded_triples, csv_triples, prompt_metadata_join,
         generation_inputs, quality_filter, select_for_rewriting, topic_label, language_score,
         batch_generate, table_generate, rewrite_job,
-        pollution_repair, pollution_questions, versions_union, latest_revision,
+        pollution_repair, pollution_questions, pollution_batch, versions_union, latest_revision,
         cosine_scores, candidate_arrays, regrouped_answers, regrouped_arrays, score_summary, preference_pairs, gathered_pairs,
-        row_ids, run_positions, nearest_centre, prompt_clusters,
+        row_ids, run_positions, nearest_centre, text_vectors, prompt_clusters,
         base_format, chat_format, message_stack, chat_turns, open_inputs, sft_examples, dpo_examples,
         response_extraction, evaluate_similarity, evaluate_answers, score_job,
     ]
