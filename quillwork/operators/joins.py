@@ -69,7 +69,7 @@ def lookup_join(
     bound: SizeBound = BROADCAST_BOUND,
     size: Size | None = None,
 ) -> DataFrame:
-    """Equi-join that broadcasts ``lookup`` if it is proven small, else salts the hot keys.
+    """Equi-join that broadcasts ``lookup`` if it is proven small, else deals the hot keys over a grid.
 
     ``spread`` names columns of ``big`` that tell its rows apart; they decide which
     copy of a hot key's lookup rows a row meets. ``how`` is inner or left. Rows are
@@ -84,30 +84,45 @@ def lookup_join(
 
 
 def salted_join(big: DataFrame, lookup: DataFrame, on: list[str], spread: list[str], how: str = "inner") -> DataFrame:
-    """Shuffled equi-join in which a hot key is split over several tasks.
+    """Shuffled equi-join in which a hot key is split over a grid of tasks.
 
-    A key is hot when it holds more than its fair share (1 / shuffle partitions)
-    of ``big``; so there are fewer hot keys than partitions, a bound that does not
-    grow with the data. Only the lookup rows of hot keys are copied, as often as
-    the key is split. The count is a map-side combined aggregate over the keys.
+    A key is hot when it holds more than its fair share (1 / shuffle partitions) of the rows of ``big``, of ``lookup``, or of
+    the pairs; so there are fewer hot keys than three times the partitions, a bound that does not grow with the data. The
+    rows that ``big`` has of a hot key are dealt over the rows of the grid and those of ``lookup`` over its columns, and each goes to
+    all cells of its row or column: every pair meets in one cell. Counts are map-side combined aggregates over the keys.
     """
     spark = big.sparkSession
     parts = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    # the counts of keys are written, so that ``big`` is read once for them and their total
-    counts = materialise(big.groupBy(*on).agg(F.count("*").alias("_n")), "counts")
-    total = counts.agg(F.sum("_n").alias("n")).first()["n"] or 0
-    hot = counts.where(F.col("_n") * parts > F.lit(total)).select(
-        *on, F.ceil(F.col("_n") * F.lit(2.0 * parts) / F.lit(max(total, 1))).cast("int").alias("_ways")
+    # the counts of keys are written, so that both sides are read once for them and their totals
+    sides = big.groupBy(*on).agg(F.count("*").alias("_n"), F.lit(0).cast("long").alias("_m")).unionByName(
+        lookup.groupBy(*on).agg(F.lit(0).cast("long").alias("_n"), F.count("*").alias("_m"))
     )
-    hot = spark.createDataFrame(hot.collect(), hot.schema)  # fewer than `parts` rows
+    counts = materialise(sides.groupBy(*on).agg(F.sum("_n").alias("_n"), F.sum("_m").alias("_m")), "counts")
+    numbers = {"_n": F.col("_n").cast("double"), "_m": F.col("_m").cast("double"), "_pairs": F.col("_n").cast("double") * F.col("_m")}
+    total = counts.agg(*[F.sum(v).alias(k) for k, v in numbers.items()]).first()
+    share = {k: v / F.lit(max(total[k] or 0.0, 1.0)) for k, v in numbers.items()}
+    crowded = F.greatest(*[s * parts for s in share.values()]) > 1
+    rows, columns = F.ceil(share["_n"] * (2.0 * parts)), F.ceil(share["_m"] * (2.0 * parts))
+    # pairs that are still too many for their cells are dealt over more of the grid's rows
+    more = F.least(F.ceil(share["_pairs"] * (2.0 * parts) / F.greatest(columns, F.lit(1))), F.col("_n"))
+    hot = counts.where(crowded & (F.col("_n") > 0)).select(
+        *on, F.greatest(rows, more, F.lit(1)).cast("int").alias("_rows"), F.greatest(F.least(columns, F.col("_m")), F.lit(1)).cast("int").alias("_columns")
+    )
+    hot = F.broadcast(spark.createDataFrame(hot.collect(), hot.schema))  # fewer than 3 * parts rows
     # a null key meets nothing, so its rows may go anywhere
     no_key = F.greatest(*[F.col(c).isNull() for c in on], F.lit(False))
-    ways = F.when(no_key, F.lit(parts)).otherwise(F.coalesce(F.col("_ways"), F.lit(1)))
-    big_salted = big.join(F.broadcast(hot), on, "left").withColumn(
-        "_salt", F.pmod(F.xxhash64(*spread), ways).cast("int")
-    )
-    lookup_salted = lookup.join(F.broadcast(hot), on, "left").withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_ways"), F.lit(1)) - 1))
+    ways = F.when(no_key, F.lit(parts)).otherwise(F.coalesce(F.col("_rows"), F.lit(1)))
+
+    def every(count: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.coalesce(F.col(count), F.lit(1)) - 1))
+
+    dealt = [f.name for f in lookup.schema if isinstance(f.dataType, T.AtomicType)]
+    left = big.join(hot, on, "left").withColumn("_salt", F.pmod(F.xxhash64(*spread), ways).cast("int")).withColumn("_column", every("_columns"))
+    right = (
+        lookup.join(hot, on, "left").withColumn("_column", F.pmod(F.xxhash64(*dealt), F.coalesce(F.col("_columns"), F.lit(1))).cast("int"))
+        .withColumn("_salt", every("_rows")).withColumn("_met", F.lit(True))
     )
-    joined = big_salted.drop("_ways").join(lookup_salted.drop("_ways"), [*on, "_salt"], how)
-    return joined.drop("_salt")
+    joined = left.drop("_rows").join(right.drop("_rows", "_columns"), [*on, "_salt", "_column"], how)
+    # a key with several columns has a match in one of them, so what met nothing in another is no row
+    real = joined.where(F.col("_met").isNotNull() | (F.coalesce(F.col("_columns"), F.lit(1)) == 1)) if how == "left" else joined
+    return real.drop("_salt", "_column", "_columns", "_met")

@@ -14,9 +14,12 @@ from pyspark.sql import functions as F
 
 from quillwork.functions.hashing import bucket, digest
 from quillwork.schemas import SPLITS
+from quillwork.session import materialise
 
 BUCKET_DIGITS = 4  # 16**4 = 65,536 buckets per group: the summary of a group stays small
 RUN_CHUNK = 1_000_000
+#: Rows of one key that are still numbered together, and rows of a piece of a key with more.
+CROWD, PIECE = 1_000_000, 1 << 17
 
 
 def same_key(columns: list[str]) -> Column:
@@ -33,8 +36,9 @@ def with_group_index(
     The order is that of ``digest(key, salt)``, then ``key``; so it is the same on
     every run and for every partitioning. ``key`` must tell rows of a group apart, or
     rows that it does not tell apart must be equal; a null group is a group. The digest's leading digits are the
-    bucket: buckets are equal in size, and ordered as the digests are. ``digits=0``
-    gives the same positions from one window per group; only for a frame that has
+    bucket: buckets are equal in size, and ordered as the digests are. A key with more than ``CROWD`` rows
+    would still meet in one bucket; its rows are written, cut into pieces as they lie, and numbered
+    piece by piece. ``digits=0`` gives the same positions from one window per group; only for a frame that has
     been measured to be small.
     """
     salt = f"index|{salt}"
@@ -42,18 +46,37 @@ def with_group_index(
         whole = Window.partitionBy(*groups).orderBy(digest(salt, *key), *key)
         return df.withColumn(index_col, (F.row_number().over(whole) - 1).cast("bigint"))
     keyed = df.withColumn("_digest", digest(salt, *key)).withColumn("_bucket", bucket(F.col("_digest"), digits))
-    earlier = Window.partitionBy(*groups).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        keyed.groupBy(*groups, "_bucket")
-        .agg(F.count("*").alias("_rows"))
-        .select(*groups, "_bucket", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
-    )
-    inside = Window.partitionBy(*groups, "_bucket").orderBy("_digest", *key)
+    counts = materialise(keyed.groupBy(*groups, "_bucket").agg(F.count("*").alias("_rows")), "buckets")
+    columns = [*[c for c in df.columns if c != index_col], index_col]
+    crowded = counts.where(F.col("_rows") > CROWD).select(*groups, "_bucket")
+    if crowded.limit(1).count() == 0:
+        return _numbered(keyed, counts, groups, ["_bucket"], key, index_col).select(*columns)
+    # a key needs more than CROWD rows to be split, so there are fewer of them than rows / CROWD
+    found = keyed.join(F.broadcast(_named(crowded)), same_key([*groups, "_bucket"]), "left_semi")
+    repeated = materialise(found.groupBy(*groups, "_digest").agg(F.count("*").alias("_rows")).where(F.col("_rows") > CROWD), "repeated")
+    split = keyed.join(F.broadcast(_named(repeated.select(*groups, "_digest", F.lit(True).alias("_split")))), same_key([*groups, "_digest"]), "left")
+    split = split.drop(*[f"_of_{c}" for c in (*groups, "_digest")]).withColumnRenamed("_of__split", "_split")
+    plain = split.where("_split IS NULL").withColumn("_piece", F.lit(0).cast("long"))
+    pieces = materialise(split.where("_split"), "pieces").withColumn("_piece", F.expr(f"monotonically_increasing_id() div {PIECE}"))
+    # whole buckets come in order; a split key is a bucket of its own behind the others that begin as it does
+    every = plain.unionByName(pieces).withColumn("_part", F.when(F.col("_split"), F.col("_digest")).otherwise(F.substring("_digest", 1, 2 * digits)))
+    level = ["_bucket", "_part", "_piece"]
+    return _numbered(every, every.groupBy(*groups, *level).agg(F.count("*").alias("_rows")), groups, level, key, index_col).select(*columns)
+
+
+def _named(df: DataFrame) -> DataFrame:
+    return df.withColumnsRenamed({c: f"_of_{c}" for c in df.columns})
+
+
+def _numbered(keyed: DataFrame, counts: DataFrame, groups: list[str], level: list[str], key: list[str], index_col: str) -> DataFrame:
+    """Rows numbered inside each part of a group, plus the rows of the parts before."""
+    earlier = Window.partitionBy(*groups).orderBy(*level).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*groups, *level, F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy(*groups, *level).orderBy("_digest", *key)
     return (
         keyed.withColumn("_inside", F.row_number().over(inside) - 1)
-        .join(offsets.withColumnsRenamed({c: f"_of_{c}" for c in [*groups, "_bucket"]}), same_key([*groups, "_bucket"]))
+        .join(offsets.withColumnsRenamed({c: f"_of_{c}" for c in [*groups, *level]}), same_key([*groups, *level]))
         .withColumn(index_col, (F.col("_before") + F.col("_inside")).cast("bigint"))
-        .select(*[c for c in df.columns if c != index_col], index_col)
     )
 
 
@@ -86,7 +109,9 @@ def sample_per_split(
     placed = keyed.join(F.broadcast(cuts), split_col, "left")
     whole = placed.where(F.col("_cut").isNull() | (F.col("_bucket") < F.col("_cut")))
     edge = placed.where(F.col("_bucket") == F.col("_cut")).withColumn("_inside", F.row_number().over(inside))
-    return whole.select(*df.columns).unionByName(edge.where(F.col("_inside") <= F.col("_room")).select(*df.columns))
+    # the fixed bound lets every task drop what lies behind it before the shuffle, also where one key crowds the bucket
+    kept = edge.where(F.col("_inside") <= n).where(F.col("_inside") <= F.col("_room"))
+    return whole.select(*df.columns).unionByName(kept.select(*df.columns))
 
 
 def with_runs(

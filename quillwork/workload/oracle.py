@@ -7,6 +7,7 @@ import re
 from quillwork.fixed import (
     BASE_MARKER,
     CATALOGUE,
+    CORPORA,
     INSTRUCTION_TEMPLATE,
     MOCK_SYSTEM_REPLY,
     ORIGINAL_PREFIX,
@@ -310,6 +311,15 @@ TABLES = {
 }
 
 
+_known = ", ".join(
+    f"({number}, {lit(corpus)}, {lit(name)}, {1 if isinstance(keys, str) else len(keys)}, {lit(split)})"
+    for number, (corpus, name, keys, splits) in enumerate(CORPORA) for split in splits
+)
+TABLES["known"] = f"""
+    SELECT k.corpus, k.source, k.split, CASE WHEN t.doc_id % 9 <> 0 THEN array_to_string(list_transform(range(k.keys), lambda x: t.original_text), chr(10)) END AS t
+    FROM texts t JOIN (VALUES {_known}) k(number, corpus, source, keys, split) ON k.number = t.doc_id % {len(CORPORA)} AND k.split = t.split"""
+
+
 def _bucket(token: str, digits: int) -> str:
     return f"substr(md5({token}), 1, {digits})"
 
@@ -352,6 +362,31 @@ TABLES |= {
 }
 
 
+TABLES |= {
+    "weighted_items": f"""
+        SELECT source, rewrite_prompt, row_number() OVER (ORDER BY {digest('index|0', 'source', 'rewrite_prompt')}, source, rewrite_prompt) - 1 AS place,
+               round(length(rewrite_prompt) / (max(length(rewrite_prompt)) OVER ())::DOUBLE * 1073741824)::BIGINT AS weight
+        FROM prompts""",
+    "gaps": """
+        SELECT place, weight * n AS scaled, whole - weight * n AS gap, whole, n FROM (
+            SELECT *, sum(weight) OVER () AS whole, count(*) OVER () AS n FROM weighted_items)""",
+    "light": "SELECT *, sum(gap) OVER (ORDER BY place) - gap AS starts FROM gaps WHERE gap > 0",
+    "heavy": "SELECT *, sum(-gap) OVER (ORDER BY place) + gap AS starts FROM gaps WHERE gap <= 0",
+    "aliases": """
+        SELECT l.place, l.scaled AS share, (SELECT max(h.place) FROM heavy h WHERE h.starts <= l.starts) AS alias FROM light l
+        UNION ALL
+        SELECT h.place, h.whole - greatest(coalesce((SELECT max(l.starts + l.gap) FROM light l WHERE l.starts < h.starts - h.gap), 0) - (h.starts - h.gap), 0),
+               coalesce((SELECT min(o.place) FROM heavy o WHERE o.place > h.place), h.place)
+        FROM heavy h""",
+    "weighted_draws": f"""
+        SELECT d.doc_id, d.draw_no, CASE WHEN d.coin * g.whole::DOUBLE < a.share::DOUBLE THEN d.place ELSE a.alias END AS place
+        FROM (SELECT doc_id, draw_no, floor({uniform(digest('weighted|42', 'doc_id', 'draw_no'), 0)} * (SELECT count(*) FROM gaps))::BIGINT AS place,
+                     {uniform(digest('weighted|42', 'doc_id', 'draw_no'), 1)} AS coin
+              FROM (SELECT doc_id, unnest(range(2))::INTEGER AS draw_no FROM texts)) d
+        JOIN aliases a ON a.place = d.place JOIN gaps g ON g.place = d.place""",
+}
+
+
 def _assigned(centres: str) -> str:
     return f"""
         SELECT source, rewrite_prompt, v, cluster FROM (
@@ -452,6 +487,11 @@ ORACLE_SQL = {
             UNION ALL SELECT t, 'given/pages', 'train', {words('t')}::INTEGER, 'pages'
             FROM (SELECT url || chr(10) || html AS t FROM pages))
         WHERE original_length < 150""",
+    "known_corpora": query(f"SELECT t AS original_text, source, split, {words('t')}::INTEGER AS original_length, corpus FROM known WHERE {words('t')} < 150"),
+    "gather_counts": query(
+        "SELECT corpus, split, count(*) AS read, count(*) FILTER (t IS NULL) AS rejected,"
+        f" count(*) FILTER ({words('t')} >= 150) AS too_long FROM known GROUP BY ALL"
+    ),
     "split_counts": query("SELECT source, split, count(*) AS rows FROM texts GROUP BY ALL"),
     "sample_by_split": query(
         f"SELECT doc_id, split, original_text FROM ({_sampled('texts', 100, 1, 'doc_id')})"
@@ -489,6 +529,9 @@ ORACLE_SQL = {
         "SELECT t.conv_id, t.turn, t.rewrite_prompt, p.source AS prompt_source, p.cluster AS prompt_cluster"
         " FROM triples t JOIN shared_prompts p ON p.rewrite_prompt = t.rewrite_prompt"
     ),
+    "weighted_prompt_draw": query(
+        "SELECT d.doc_id, d.draw_no, i.source AS prompt_source, i.rewrite_prompt FROM weighted_draws d JOIN weighted_items i ON i.place = d.place"
+    ),
     "generation_inputs": query(
         f"SELECT doc_id, draw_no, rewrite_index::INTEGER AS rewrite_index,"
         f" {_rewrite_input('rewrite_index', 'rewrite_prompt', 'original_text')} AS input FROM ("
@@ -539,6 +582,10 @@ ORACLE_SQL = {
         f" FROM (SELECT *, {_tenths('rewritten_text')} AS p_first, {_tenths('shorter')} AS p_again FROM pollution_scores)"
     ),
     "versions_union": query("SELECT * REPLACE (round(yes, 6) AS yes) FROM versions WHERE yes < 0.5::DOUBLE"),
+    "written_counts": query(
+        "SELECT 'v-1' AS version, r::INTEGER AS revision, split, count(*) AS rows FROM labelled JOIN range(2) x(r) ON true GROUP BY ALL"
+        " UNION ALL SELECT 'v-downloaded', 0::INTEGER, split, count(*) FROM labelled WHERE split <> 'validation' GROUP BY ALL"
+    ),
     "latest_revision": query(
         "SELECT version, 1::INTEGER AS revision, split, count(*) AS rows, true AS refused"
         " FROM versions WHERE version = 'v-1' GROUP BY ALL"

@@ -6,7 +6,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quillwork.fixed import MAX_WORDS
+from quillwork.fixed import CORPORA, MAX_WORDS
 from quillwork.functions.arrays import regroup
 from quillwork.functions.chat import stack_messages
 from quillwork.functions.text import after_last, join_texts, or_empty, pollution_question, strip, word_count
@@ -25,9 +25,10 @@ from quillwork.operators.labeling import (
 from quillwork.operators.pairs import preference_pairs as pairs_of
 from quillwork.operators.prompts import with_prompt_metadata
 from quillwork.operators.ranking import sample_per_split, with_group_index, with_runs
-from quillwork.operators.sampling import attach_examples, choice, source_weights
+from quillwork.operators.sampling import attach_examples, choice, source_weights, split_of
 from quillwork.operators.scorers import FunctionScorer
 from quillwork.operators.scoring import candidate_summary, score_long, similarity_summary, with_candidate_scores
+from quillwork.operators.weighted import draw_weighted, weighted_pool
 from quillwork.plans.gather import add_templates, build_prompts, downloaded_texts, gather_texts, row_counts
 from quillwork.plans.preference import (
     evaluate,
@@ -40,7 +41,7 @@ from quillwork.plans.preference import (
 from quillwork.plans.rewrite import gather_rewritten, label_rewritten, rewrite_texts, select_texts
 from quillwork.schemas import GATHERED
 from quillwork.session import materialise, new_folder
-from quillwork.sources.corpora import read_text_corpus
+from quillwork.sources.corpora import read_known_corpora, read_text_corpus, seen_counts
 from quillwork.sources.tables import read_csv_sources
 from quillwork.sources.versions import VersionedTables, read_prompts, write_table
 from quillwork.workload import inputs
@@ -64,6 +65,33 @@ def corpus_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gather_texts([corpus, pages])
 
 
+def _known_corpora(spark: SparkSession, sf_dir: str) -> str:
+    """The given tables as the folders of the eight known corpora; every ninth text is null."""
+    root = new_folder(spark, "corpora")
+    texts = table(spark, sf_dir, "documents").select(
+        "doc_id", F.when(F.col("doc_id") % 9 != 0, F.col("text")).alias("text"), split_of("doc_id").alias("split")
+    )
+    for number, (corpus, _, keys, splits) in enumerate(CORPORA):
+        columns = [keys] if isinstance(keys, str) else keys
+        mine = texts.where(F.col("doc_id") % len(CORPORA) == number)
+        for split in splits:
+            # a corpus with several key columns holds a text in each
+            mine.where(F.col("split") == split).select(*[F.col("text").alias(c) for c in columns]).write.parquet(f"{root}/{corpus}/{split}")
+    return root
+
+
+def known_corpora(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The eight known corpora from their folders, gathered."""
+    return gather_texts(read_known_corpora(spark, _known_corpora(spark, sf_dir)))
+
+
+def gather_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows read, rejected and too long per corpus and split, from the pass that writes the texts."""
+    seen: dict = {}
+    materialise(gather_texts(read_known_corpora(spark, _known_corpora(spark, sf_dir), seen=seen)), "texts")
+    return seen_counts(spark, seen)
+
+
 def split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return row_counts(inputs.texts(spark, sf_dir), ["source", "split"])
 
@@ -132,6 +160,14 @@ def csv_triples(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv_sources(spark, [("first", folder, ["pairs.csv", "pairs.csv"]), ("second", folder, ["pairs.csv"])])
 
 
+def weighted_prompt_draw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two prompts per text, drawn in proportion to their length."""
+    prompts = inputs.prompts(spark, sf_dir).withColumn("weight", F.length("rewrite_prompt"))
+    pool = weighted_pool(prompts, "weight", ["source", "rewrite_prompt"])
+    fields = {"source": "prompt_source", "rewrite_prompt": "rewrite_prompt"}
+    return draw_weighted(inputs.texts(spark, sf_dir), pool, ["doc_id"], fields, k=2).select("doc_id", "draw_no", *fields.values())
+
+
 def prompt_metadata_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = with_prompt_metadata(
         inputs.triples(spark, sf_dir), inputs.shared_prompts(spark, sf_dir), spread=PAIR_KEY
@@ -288,6 +324,11 @@ def versions_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gathered.withColumn("yes", F.round("yes", 6)).drop("revision")
 
 
+def written_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per version, revision and split, counted by the writes."""
+    return _written_versions(spark, sf_dir).counts("labeled_rewritten_texts")
+
+
 def latest_revision(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of the newest revision, and that a version is not replaced unasked."""
     tables = _written_versions(spark, sf_dir)
@@ -536,12 +577,12 @@ def score_job(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     function.__name__: function
     for function in [
-        gather_short_texts, corpus_files, split_counts, sample_by_split, multi_column_text,
+        gather_short_texts, corpus_files, known_corpora, gather_counts, split_counts, sample_by_split, multi_column_text,
         prompt_catalogue, prompt_union_distinct, prompt_weights, balanced_prompt_draw, templates_join,
-        downloaded_triples, csv_triples, prompt_metadata_join,
+        downloaded_triples, csv_triples, prompt_metadata_join, weighted_prompt_draw,
         generation_inputs, quality_filter, select_for_rewriting, topic_label, language_score,
         batch_generate, table_generate, rewrite_job,
-        pollution_repair, pollution_questions, pollution_batch, versions_union, latest_revision,
+        pollution_repair, pollution_questions, pollution_batch, versions_union, latest_revision, written_counts,
         cosine_scores, candidate_arrays, regrouped_answers, regrouped_arrays, score_summary, preference_pairs, gathered_pairs,
         row_ids, run_positions, nearest_centre, text_vectors, prompt_clusters,
         base_format, chat_format, message_stack, chat_turns, open_inputs, sft_examples, dpo_examples,
