@@ -24,6 +24,7 @@ TEXT_DIGITS = 2  # 16**2 = 256 buckets
 ROUNDS = 20
 #: Vectors that meet a block of centres together.
 PACKED_ROWS = 4096
+PACKED = "rows binary, vectors binary, distance binary, number binary"
 
 
 # -- text vectors -----------------------------------------------------------
@@ -182,11 +183,12 @@ def with_nearest_centre(
         centres.groupBy(F.expr(f"cluster div {per_block}").cast("int").alias("block"))
         .agg(F.sort_array(F.collect_list(F.struct(F.col("cluster").cast("int").alias("cluster"), F.col("center").cast("array<double>").alias("center")))).alias("centres"))
     )
-    packed = df.select(*kept).mapInArrow(_packing(vector_col), "rows binary, vectors binary, distance binary, number binary")
-    for block in range(size["last"] // per_block + 1):
+    packed = df.select(*kept).mapInArrow(_packing(vector_col), PACKED)
+    last = size["last"] // per_block
+    for block in range(last + 1):
         met = packed.withColumn("block", F.lit(block)).join(F.broadcast(blocks.where(F.col("block") == block)), "block", "left").drop("block")
-        packed = met.mapInArrow(_passing, "rows binary, vectors binary, distance binary, number binary")
-    return packed.mapInArrow(_unpacking(out_col), schema)
+        packed = met.mapInArrow(_passing, PACKED) if block < last else met.mapInArrow(_unpacking(out_col), schema)
+    return packed
 
 
 def _packing(vector_col: str):
@@ -227,7 +229,7 @@ def _passing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _unpacking(out_col: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _passing(batches):
             for rows, number in zip(batch.column("rows"), batch.column("number")):
                 (part,) = pa.ipc.open_stream(rows.as_buffer())
                 found = np.frombuffer(number.as_buffer(), np.int32)

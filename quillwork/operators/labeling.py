@@ -26,7 +26,7 @@ from quillwork.session import materialise
 
 # -- language ---------------------------------------------------------------
 
-LANGUAGE_DIGITS = 4  # 16**4 = 65,536 token buckets
+TOKEN_BUCKETS = 1 << 16
 
 
 @dataclass(frozen=True)
@@ -37,17 +37,18 @@ class LanguageModel:
     languages: tuple[str, ...]
     log_priors: tuple[float, ...]
     log_totals: tuple[float, ...]  # ln(tokens + buckets)
-    digits: int
+    buckets: int
 
 
-def _token_buckets(df: DataFrame, column: str, text_col: str, digits: int) -> DataFrame:
-    """(column, _bucket): one row per token, and one with a null bucket for the text itself."""
+def _token_buckets(df: DataFrame, column: str, text_col: str, buckets: int) -> DataFrame:
+    """(column, _bucket): one row per token, its CRC-32 modulo ``buckets``, and one with bucket -1 for the text itself."""
     told = F.concat(F.split(F.lower(text_col), " ", -1), F.array(F.lit(None).cast("string")))
-    return df.select(column, F.explode(told).alias("_token")).select(column, F.substring(F.md5("_token"), 1, digits).alias("_bucket"))
+    bucket = F.coalesce((F.crc32(F.col("_token").cast("binary")) % buckets).cast("int"), F.lit(-1))
+    return df.select(column, F.explode(told).alias("_token")).select(column, bucket.alias("_bucket"))
 
 
 def train_language_model(
-    df: DataFrame, text_col: str = "original_text", label_col: str = "lang", digits: int = LANGUAGE_DIGITS
+    df: DataFrame, text_col: str = "original_text", label_col: str = "lang", buckets: int = TOKEN_BUCKETS
 ) -> LanguageModel:
     """Naive Bayes over token counts of the whole text, smoothed by one.
 
@@ -55,22 +56,22 @@ def train_language_model(
     table; three numbers a language reach the driver. Rows without text or label teach nothing.
     """
     known = df.where(F.col(text_col).isNotNull() & F.col(label_col).isNotNull())
-    labelled = _token_buckets(known.withColumn("_label", F.col(label_col).cast("string")), "_label", text_col, digits)
+    labelled = _token_buckets(known.withColumn("_label", F.col(label_col).cast("string")), "_label", text_col, buckets)
     counts = materialise(labelled.groupBy("_label", "_bucket").agg(F.count("*").alias("_n")), "tokens")
     sizes = counts.groupBy("_label").agg(
-        F.sum(F.when(F.col("_bucket").isNull(), F.col("_n"))).alias("texts"),
-        F.coalesce(F.sum(F.when(F.col("_bucket").isNotNull(), F.col("_n"))), F.lit(0)).alias("tokens"),
+        F.sum(F.when(F.col("_bucket") < 0, F.col("_n"))).alias("texts"),
+        F.coalesce(F.sum(F.when(F.col("_bucket") >= 0, F.col("_n"))), F.lit(0)).alias("tokens"),
     ).orderBy("_label").collect()
     if not sizes:
         raise ValueError("no text has a language")
     languages = tuple(r["_label"] for r in sizes)
     held = F.map_from_entries(F.collect_list(F.struct("_label", "_n")))
     listed = F.transform(F.array(*map(F.lit, languages)), lambda name: F.ln(F.coalesce(F.try_element_at("_held", name), F.lit(0)) + F.lit(1.0)))
-    shares = counts.where("_bucket IS NOT NULL").groupBy("_bucket").agg(held.alias("_held")).select("_bucket", listed.alias("_counts"))
+    shares = counts.where("_bucket >= 0").groupBy("_bucket").agg(held.alias("_held")).select("_bucket", listed.alias("_counts"))
     every = sum(r["texts"] for r in sizes)
     return LanguageModel(
         materialise(shares, "language_model"), languages, tuple(math.log(r["texts"] / every) for r in sizes),
-        tuple(math.log(r["tokens"] + 16**digits) for r in sizes), digits,
+        tuple(math.log(r["tokens"] + buckets) for r in sizes), buckets,
     )
 
 
@@ -85,11 +86,11 @@ def with_language_probability(
     """
     number = model.languages.index(language)
     rows = df.withColumn("_text", F.md5(text_col))
-    tokens = _token_buckets(rows.where(F.col(text_col).isNotNull()), "_text", text_col, model.digits)
-    bound = Size(16**model.digits, 16**model.digits * (8 * len(model.languages) + 64))
+    tokens = _token_buckets(rows.where(F.col(text_col).isNotNull()), "_text", text_col, model.buckets)
+    bound = Size(model.buckets, model.buckets * (8 * len(model.languages) + 64))
     met = lookup_join(tokens, model.shares, ["_bucket"], spread=["_text"], how="left", size=bound)
     sums = met.groupBy("_text").agg(
-        F.count("_bucket").alias("_n"), F.count_if(F.col("_bucket").isNull()).alias("_rows"),
+        F.count_if(F.col("_bucket") >= 0).alias("_n"), F.count_if(F.col("_bucket") < 0).alias("_rows"),
         *[F.coalesce(F.sum(F.get("_counts", F.lit(i))), F.lit(0.0)).alias(f"_of_{i}") for i in range(len(model.languages))],
     )
     scores = [

@@ -325,9 +325,18 @@ def _bucket(token: str, digits: int) -> str:
 
 
 TABLES |= {
-    "tokens": f"""
-        SELECT doc_id, {_bucket('t', 4)} AS bucket, count(*) AS n FROM (
+    "crc_steps": """
+        SELECT list(c ORDER BY i) AS steps FROM (
+            SELECT i, list_reduce(range(8), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, i) AS c
+            FROM range(256) r(i))""",
+    "text_tokens": """
+        SELECT doc_id, t, count(*) AS n FROM (
             SELECT doc_id, unnest(string_split(lower(original_text), ' ')) AS t FROM texts) GROUP BY ALL""",
+    "token_buckets": """
+        SELECT t, xor(coalesce(list_reduce(list_transform(range(1, len(h), 2), lambda k: ('0x' || substr(h, k, 2))::BIGINT),
+                                           lambda c, b: xor(c // 256, steps[xor(c % 256, b) + 1]), 4294967295), 4294967295), 4294967295) % 65536 AS bucket
+        FROM (SELECT t, hex(encode(t)) AS h FROM (SELECT DISTINCT t FROM text_tokens)) JOIN crc_steps ON true""",
+    "tokens": "SELECT doc_id, bucket, sum(n) AS n FROM text_tokens JOIN token_buckets USING (t) GROUP BY ALL",
     "taught": """
         SELECT d.lang, k.bucket, sum(k.n) AS n FROM tokens k JOIN documents d USING (doc_id) JOIN texts t USING (doc_id)
         WHERE t.split = 'train' AND d.lang IS NOT NULL GROUP BY ALL""",

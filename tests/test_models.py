@@ -3,6 +3,7 @@
 import hashlib
 import math
 from collections import Counter
+from zlib import crc32
 
 import numpy as np
 import pandas as pd
@@ -21,15 +22,18 @@ def bucket(token, digits):
     return hashlib.md5(token.encode()).hexdigest()[:digits]
 
 
-def plain_probability(taught, text, language, digits=4):
+def plain_probability(taught, text, language, buckets=1 << 16):
+    def bucket(token):
+        return crc32(token.encode()) % buckets
+
     tokens, texts = {}, Counter(lang for _, lang in taught)
     for body, lang in taught:
-        tokens.setdefault(lang, Counter()).update(bucket(t, digits) for t in body.lower().split(" "))
+        tokens.setdefault(lang, Counter()).update(bucket(t) for t in body.lower().split(" "))
     scores = {}
     for lang, counts in tokens.items():
-        total = math.log(counts.total() + 16**digits)
+        total = math.log(counts.total() + buckets)
         scores[lang] = math.log(texts[lang] / len(taught)) + sum(
-            math.log(counts[bucket(t, digits)] + 1) - total for t in text.lower().split(" "))
+            math.log(counts[bucket(t)] + 1) - total for t in text.lower().split(" "))
     top = max(scores.values())
     return math.exp(scores[language] - top) / sum(math.exp(s - top) for s in scores.values())
 
