@@ -1,22 +1,26 @@
 """License scans by conditional compression.
 
-Lines that speak of licensing are the candidates; neighbouring ones form a block. A
-template is compared wherever a window of the block, as long as the template's words and the additions allowed,
-holds enough of them for an alignment. It has to be confirmed by its wording: words
-are aligned, and the differences inside the aligned part must be few and must not touch a number, a
-negation or a license's name. The longest confirmed template wins; what it saves as a raw zstandard dictionary,
-when its window is compressed, is the reduction.
+Lines that speak of licensing are the candidates; neighbouring ones form a block. A block is compressed alone and with each
+template as a raw zstandard dictionary, and the templates are ranked by the bytes they save. In that
+order they have to be confirmed by wording: words are aligned, and the differences inside the aligned part must be few and
+must not touch a number, a negation or a license's name. The first one confirmed is the
+license of that part, and what is before and behind it is ranked anew, until no template is left. Only
+templates are compressed with whose words could still align somewhere in the block, as no other can be confirmed.
+
+Licenses granted by name have templates of their own: the words around each grant are compressed with the names of every
+license, ranked in the same way, and confirmed where name and version stand there exactly.
 
 Defined results: a null or empty text has no block; a block that no template explains
 has license null; equal blocks have equal results; a row comes back for each license of
-each candidate block, in whatever number, and very long blocks are cut with an overlap longer than any template.
+each candidate block, in whatever number; very long blocks are cut with an overlap longer than any template; of templates that save
+as much the first in the list goes first; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from difflib import SequenceMatcher
 
@@ -196,6 +200,32 @@ PATTERNS = {
     "CC-BY-NC-ND-4.0": _cc("by nc nd", "attribution noncommercial noderivatives"),
     "CC-BY-4.0": _cc("by", "attribution"),
 }
+# The licenses' full names, as grants spell them.
+FULL_NAMES = {
+    "MIT": "MIT License, Expat License",
+    "ISC": "ISC License",
+    "0BSD": "0BSD, BSD Zero Clause License, Zero-Clause BSD",
+    "BSD-2-Clause": "BSD 2-Clause License, 2-Clause BSD, Simplified BSD License, FreeBSD License",
+    "BSD-3-Clause": "BSD 3-Clause License, 3-Clause BSD, New BSD License, Modified BSD License",
+    "Apache-2.0": "Apache License, Version 2.0, Apache Software License 2.0",
+    "GPL-2.0": "GNU General Public License, version 2, GPLv2",
+    "GPL-3.0": "GNU General Public License, version 3, GPLv3",
+    "LGPL-2.1": "GNU Lesser General Public License, version 2.1, GNU Library General Public License, LGPLv2.1",
+    "LGPL-3.0": "GNU Lesser General Public License, version 3, LGPLv3",
+    "AGPL-3.0": "GNU Affero General Public License, version 3, AGPLv3",
+    "MPL-2.0": "Mozilla Public License, version 2.0, MPL 2.0",
+    "EPL-2.0": "Eclipse Public License 2.0, EPL 2.0",
+    "Zlib": "zlib License",
+    "Unlicense": "The Unlicense",
+    "CC0-1.0": "CC0 1.0, Creative Commons Zero 1.0",
+    "CC-BY-SA-4.0": "CC BY-SA 4.0, Creative Commons Attribution-ShareAlike 4.0",
+    "CC-BY-NC-4.0": "CC BY-NC 4.0, Creative Commons Attribution-NonCommercial 4.0",
+    "CC-BY-ND-4.0": "CC BY-ND 4.0, Creative Commons Attribution-NoDerivatives 4.0",
+    "CC-BY-NC-SA-4.0": "CC BY-NC-SA 4.0, Creative Commons Attribution-NonCommercial-ShareAlike 4.0",
+    "CC-BY-NC-ND-4.0": "CC BY-NC-ND 4.0, Creative Commons Attribution-NonCommercial-NoDerivatives 4.0",
+    "CC-BY-4.0": "CC BY 4.0, Creative Commons Attribution 4.0",
+}
+NAME_TEMPLATES = {(k, "names"): f"SPDX-License-Identifier: {k}. Licensed under the terms of the {names}" for k, names in FULL_NAMES.items()}
 # a name ends where no other version or number follows
 NAME = re.compile(
     " (?:" + "|".join(f"(?P<{_group(k)}>{p})" for k, p in PATTERNS.items())
@@ -244,15 +274,17 @@ class Scanner:
         self.alone = zstandard.ZstdCompressor(level=LEVEL, write_content_size=False)
         self.words = {key: words_of(text) for key, text in templates.items()}
         self.given = {}
-        for key, words in self.words.items():
+        for key, words in {**self.words, **{key: words_of(text) for key, text in NAME_TEMPLATES.items()}}.items():
             raw = zstandard.ZstdCompressionDict(" ".join(words).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             self.given[key] = zstandard.ZstdCompressor(level=LEVEL, dict_data=raw, write_content_size=False, write_dict_id=False)
         self.cache: dict[str, Found] = {}
 
-    def reduction(self, words: list[str], key: tuple[str, str]) -> float:
-        """The share of the compressed words that the template saves as a dictionary."""
+    def ranked(self, words: list[str], keys: Iterable[tuple[str, str]]) -> list[tuple[tuple[str, str], float]]:
+        """The templates by the bytes that each saves as a dictionary when the words are compressed, and the share it saves."""
         block = " ".join(words).encode()
-        return 1 - len(self.given[key].compress(block)) / len(self.alone.compress(block))
+        alone = len(self.alone.compress(block))
+        sizes = [(len(self.given[key].compress(block)), key) for key in keys]
+        return [(key, 1 - size / alone) for size, key in sorted(sizes, key=lambda s: s[0])]
 
     def windows(self, words: list[str], key: tuple[str, str]) -> Iterator[tuple[int, int]]:
         """(begin, end) of all parts where the template's words could still align; the best window of each part follows it."""
@@ -315,37 +347,51 @@ class Scanner:
     def _scan(self, words: list[str]) -> list[Found]:
         if len(words) < 3 or not TRIGGERS.search(" ".join(words)):
             return []
-        # forms that share wording: the longest confirmed one wins
-        best = None
-        for key, template in self.words.items():
-            size = len(template)
-            if best and size <= best[0]:
-                continue
-            for first, last in self.windows(words, key):
-                missing, added, begin, end = self.differences(words[first:last], key)
-                wrong = any(w in NAMES or any(map(str.isdigit, w)) for w in (*missing, *added))
-                if not wrong and len(missing) <= MISSING * size and len(added) <= max(1, ADDED * size):
-                    after = " ".join(words[first + begin : first + end + FURTHER])
-                    if not (key[0] in EXCEPT and EXCEPT[key[0]].search(after)):
-                        best = size, Found(*key, self.reduction(words[first:last], key), missing, added), first + begin, first + end
-                        break
-        return [*self._scan(words[: best[2]]), best[1], *self._scan(words[best[3] :])] if best else []
-
-
-def named(text: str) -> list[str]:
-    """The licenses that a text is put under by name and version, in order; not those behind a negation."""
-    said, found = " ".join(words_of(FIELD.sub(" licenseis ", SENTENCE.sub(" sentenceend ", text)))), []
+        places = {key: parts for key in self.words if (parts := list(self.windows(words, key)))}
+        for key, reduction in self.ranked(words, places) if places else ():
+            for first, last in places[key]:
+                if confirmed := self.confirmed(words, key, first, last):
+                    missing, added, begin, end = confirmed
+                    return [*self._scan(words[:begin]), Found(*key, reduction, missing, added), *self._scan(words[end:])]
+        return []
+
+    def confirmed(self, words: list[str], key: tuple[str, str], first: int, last: int):
+        """(missing, added, begin, end) if the template's wording stands between two places; begin and end are its own."""
+        size = len(self.words[key])
+        missing, added, begin, end = self.differences(words[first:last], key)
+        if len(missing) > MISSING * size or len(added) > max(1, ADDED * size):
+            return None
+        if any(w in NAMES or any(map(str.isdigit, w)) for w in (*missing, *added)):
+            return None
+        after = " ".join(words[first + begin : first + end + FURTHER])
+        if key[0] in EXCEPT and EXCEPT[key[0]].search(after):
+            return None
+        return missing, added, first + begin, first + end
+
+    def named(self, text: str) -> list[Found]:
+        """Licenses granted by name and version, in their order; for each grant all names are ranked and those that stand there confirmed."""
+        out: dict[str, Found] = {}
+        for window, licenses in grants(text):
+            shares = {key[0]: reduction for key, reduction in self.ranked(window, NAME_TEMPLATES) if key[0] in licenses}
+            for license in licenses:
+                out.setdefault(license, Found(license, "name", shares[license], (), ()))
+        return list(out.values())
+
+
+def grants(text: str) -> Iterator[tuple[list[str], list[str]]]:
+    """For each grant by name: the words around it, and the licenses that stand there by name and version. None behind a negation."""
+    said = " ".join(words_of(FIELD.sub(" licenseis ", SENTENCE.sub(" sentenceend ", text))))
     for m in GRANT.finditer(said):
         before = said[max(0, m.start() - NEAR_SIGNS) : m.start()].rpartition("sentenceend")[2].split()[-NEAR_WORDS:]
-        at, negated = m.end(), bool(NEGATED.intersection(before))
+        at, found = m.end(), []
         while name := NAME.match(said, at):
-            license = next(k for k in PATTERNS if name[_group(k)])
-            if not negated and license not in found:
-                found.append(license)
+            found.append(next(k for k in PATTERNS if name[_group(k)]))
+            last = name.end()
             # further names of the same grant
-            more = MORE.match(said, name.end())
+            more = MORE.match(said, last)
             at = more.end() if more else len(said)
-    return found
+        if found and not NEGATED.intersection(before):
+            yield [*before, *said[m.start() : last].split()], list(dict.fromkeys(found))
 
 
 def blocks_of(text: str) -> Iterator[tuple[int, int]]:
@@ -355,25 +401,26 @@ def blocks_of(text: str) -> Iterator[tuple[int, int]]:
         lines.append((at, at + len(line.rstrip(BREAKS)), bool(TRIGGERS.search(line))))
         at += len(line)
     hits = [k for k, line in enumerate(lines) if line[2]]
-    done = 0
-    while hits:
-        first = last = hits[0]
-        while hits and hits[0] - last <= BRIDGE + 1:
-            last = hits.pop(0)
+    done = at = 0
+    while at < len(hits):
+        first = last = hits[at]
+        while at < len(hits) and hits[at] - last <= BRIDGE + 1:
+            last = hits[at]
+            at += 1
         begin, end = first, last
         while begin > max(done, first - BRIDGE) and lines[begin - 1][1] - lines[begin - 1][0] <= WRAPPED:
             begin -= 1
-        while end + 1 < min(len(lines), last + BRIDGE + 1, hits[0] if hits else len(lines)) and lines[end + 1][1] - lines[end + 1][0] <= WRAPPED:
+        while end + 1 < min(len(lines), last + BRIDGE + 1, hits[at] if at < len(hits) else len(lines)) and lines[end + 1][1] - lines[end + 1][0] <= WRAPPED:
             end += 1
         done = end + 1
         yield lines[begin][0], lines[end][1]
 
 
 def licenses_of(scanner: Scanner, block: str) -> list[Found]:
-    """What the wording confirms, and further licenses that are granted by name; these have no reduction."""
+    """What the wording of notices confirms, and further licenses that are granted by name."""
     found = [f for f in scanner.scan(block) if f.license]
     have = {f.license for f in found}
-    found += [Found(k, "name", None, (), ()) for k in named(block) if k not in have]
+    found += [f for f in scanner.named(block) if f.license not in have]
     return found or [Found(None, None, 0.0, (), ())]
 
 

@@ -1,6 +1,7 @@
 import random
 import re
 import textwrap
+import time
 
 import pytest
 
@@ -98,6 +99,60 @@ def test_names_decide(scanner, text, licenses):
     assert re.search(lc.TRIGGER, text)
 
 
+def brute(scanner, words):
+    """Every template in every window, ranked by what it saves in the whole block; no template is left out beforehand."""
+    if len(words) < 3:
+        return []
+    alone = len(scanner.alone.compress(" ".join(words).encode()))
+    saved = {key: len(scanner.given[key].compress(" ".join(words).encode())) for key in scanner.words}
+    for key in sorted(scanner.words, key=saved.get):
+        size = len(scanner.words[key])
+        width, slack = size + max(1, int(lc.ADDED * size)), int(lc.MISSING * size)
+        for begin in range(max(1, len(words) - size + slack + 1)):
+            if found := scanner.confirmed(words, key, max(0, begin - slack), min(len(words), begin + width + slack)):
+                return [*brute(scanner, words[: found[2]]), (*key, round(1 - saved[key] / alone, 4)), *brute(scanner, words[found[3] :])]
+    return []
+
+
+def test_query_against_all_templates_in_all_windows(spark, sf_dir, scanner):
+    texts = spark.read.parquet(f"{sf_dir}/documents.parquet").collect()
+    want, blocks = [], {}
+    for r in texts:
+        for start, end in lc.blocks_of(r["text"] or ""):
+            block = r["text"][start:end]
+            if block not in blocks:
+                confirmed = list(dict.fromkeys(brute(scanner, lc.words_of(block))))
+                have = {f[0] for f in confirmed}
+                blocks[block] = confirmed + [(f.license, "name", round(f.reduction, 4)) for f in scanner.named(block) if f.license not in have]
+            want += [(r["doc_id"], start, end, *f) for f in blocks[block] or [(None, None, 0.0)]]
+    got = [tuple(r)[:6] for r in lc.op4_license_scan(spark, sf_dir).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str) and any(g[3] for g in got)
+
+
+def test_notices_in_one_block_against_all_windows(scanner):
+    rng = random.Random(5)
+    keys = list(lc.TEMPLATES)
+    for _ in range(6):
+        chosen = rng.sample(keys, 3)
+        text = " ".join(x for k in chosen for x in (" ".join(prose(30, rng.random())), lc.TEMPLATES[k]))
+        found = [(f.license, f.form) for f in scanner.scan(text)]
+        assert found == list(dict.fromkeys(f[:2] for f in brute(scanner, lc.words_of(text)))) and set(found) == set(chosen)
+
+
+def test_the_right_template_saves_most(scanner):
+    for key, text in lc.TEMPLATES.items():
+        words = lc.words_of(" ".join([*prose(60, 1), text, *prose(60, 2)]))
+        first = scanner.ranked(words, scanner.words)[:4]
+        # a template that holds another whole saves as much where only that one stands
+        assert len(scanner.words[key]) < 20 or key in [k for k, _ in first] and first[0][1] > 0
+
+
+def test_many_lines_take_time_in_proportion():
+    begin = time.perf_counter()
+    assert sum(1 for _ in lc.blocks_of("license\n\n\n\n\n\n\n" * 200_000)) == 200_000
+    assert time.perf_counter() - begin < 20
+
+
 def test_whole_texts_with_numbered_conditions(scanner):
     for license, last in (("BSD-2-Clause", 2), ("BSD-3-Clause", 3)):
         text = lc.TEMPLATES[license, "text"]
