@@ -315,9 +315,10 @@ _known = ", ".join(
     f"({number}, {lit(corpus)}, {lit(name)}, {1 if isinstance(keys, str) else len(keys)}, {lit(split)})"
     for number, (corpus, name, keys, splits) in enumerate(CORPORA) for split in splits
 )
+TABLES["known_splits"] = f"SELECT * FROM (VALUES {_known}) k(number, corpus, source, keys, split)"
 TABLES["known"] = f"""
-    SELECT k.corpus, k.source, k.split, CASE WHEN t.doc_id % 9 <> 0 THEN array_to_string(list_transform(range(k.keys), lambda x: t.original_text), chr(10)) END AS t
-    FROM texts t JOIN (VALUES {_known}) k(number, corpus, source, keys, split) ON k.number = t.doc_id % {len(CORPORA)} AND k.split = t.split"""
+    SELECT k.corpus, k.source, k.split, t.doc_id, CASE WHEN t.doc_id % 9 <> 0 THEN array_to_string(list_transform(range(k.keys), lambda x: t.original_text), chr(10)) END AS t
+    FROM texts t JOIN known_splits k ON k.number = t.doc_id % {len(CORPORA)} AND k.split = t.split"""
 
 
 def _bucket(token: str, digits: int) -> str:
@@ -498,8 +499,9 @@ ORACLE_SQL = {
         WHERE original_length < 150""",
     "known_corpora": query(f"SELECT t AS original_text, source, split, {words('t')}::INTEGER AS original_length, corpus FROM known WHERE {words('t')} < 150"),
     "gather_counts": query(
-        "SELECT corpus, split, count(*) AS read, count(*) FILTER (t IS NULL) AS rejected,"
-        f" count(*) FILTER ({words('t')} >= 150) AS too_long FROM known GROUP BY ALL"
+        "SELECT s.corpus, s.split, count(k.doc_id) AS read, count(k.doc_id) FILTER (k.t IS NULL) AS rejected,"
+        f" count(*) FILTER ({words('k.t')} >= 150) AS too_long"
+        " FROM known_splits s LEFT JOIN known k ON k.corpus = s.corpus AND k.split = s.split GROUP BY ALL"
     ),
     "split_counts": query("SELECT source, split, count(*) AS rows FROM texts GROUP BY ALL"),
     "sample_by_split": query(
