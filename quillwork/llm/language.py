@@ -5,13 +5,17 @@ n-grams, and itself in a lexicon learned from the sample. Learned transitions jo
 neighbours, and forward-backward gives each word's probabilities. A document's
 language is that of its words on average.
 
-Forward-backward over long sequences is done in blocks of words: products of the
-blocks' matrices carry the state from block to block, and all blocks of a slice of
-documents are worked on together. It is exact, whatever the text's length.
+Forward-backward is exact, whatever the text's length. With few languages it is done in blocks of
+words: products of the blocks' matrices carry the state from block to block, and all blocks of a slice of
+documents are worked on together. With many, whose matrices would be large, it goes word by word
+through all sequences of a slice. A word of any length has all its n-grams, as text without spaces needs.
 
-Defined results: a null text, or one without a letter, is ``und`` with score 0;
+The number of languages is not bounded: model and time for a word grow with it (the time of the chain with its square).
+
+Defined results: a null text, or one without a letter (combining marks are none), is ``und`` with score 0;
 without labelled rows every text is ``und``; words without letters take part in the chain with no
-evidence of their own; ties go to the language that sorts first; equal texts have equal results.
+evidence of their own; ties go to the language that sorts first; equal texts have equal results;
+an empty table gives no rows; a row is its own result, so repeated rows stay; further columns of whatever name are not read.
 """
 
 from __future__ import annotations
@@ -29,17 +33,21 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from quillwork.llm.common import SLICE_BYTES, held_out, slices, table
 
-#: Documents of each language that are learned from, and words of each, at most.
+#: Documents of each language that are learned from, words of each, and characters of a word, at most.
 SAMPLE_DOCS = 300
 SAMPLE_WORDS = 200
-#: Languages told apart, at most: the most frequent of the sample's table.
-MOST_LANGUAGES = 256
+SAMPLE_SIGNS = 200
+#: Documents of all languages that are learned from: many languages share them evenly, with 20 each at least.
+SAMPLE_ALL = 6_000
 SEGMENT = (4, 30)
 BUCKETS = 1 << 16
 EPOCHS, BATCH, RATE, RIDGE = 6, 64, 0.3, 1e-5
 BLOCK = 32
-#: A longer word has the features of its first and last characters.
-LONGEST = 40
+#: Languages up to which long sequences are worked on in blocks, whose matrices cost the number's cube.
+FEW = 16
+#: Characters whose features are worked out at once; a longer word is scored piece by piece.
+PIECE = 1 << 18
+PRIME = np.uint64(1_000_003)
 UNKNOWN = "und"
 
 
@@ -50,26 +58,39 @@ def _mixed(code: np.ndarray, salt: int) -> np.ndarray:
     return (code >> np.uint64(40)).astype(np.int64) & (BUCKETS - 1)
 
 
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+
+
+def _grams(code: np.ndarray, sizes: tuple[int, ...] = (1, 2, 3, 4)) -> Iterator[tuple[int, np.ndarray]]:
+    """(n, bucket of the n-gram that begins at each character)."""
+    gram = np.zeros(len(code), np.uint64)
+    for n in sizes:
+        if len(code) < n:
+            return
+        gram = gram[: len(code) - n + 1] * PRIME + code[n - 1 :]
+        yield n, _mixed(gram, n)
+
+
+def _polynomial(code: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Each character times the power of its place in the word; the sum stands for the word."""
+    return code * np.uint64(6364136223846793005) ** place.astype(np.uint64)
+
+
 def features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(word, bucket) of every feature: n-grams of 1 to 4 characters with word marks, affixes up to 4, the word."""
-    words = [w if len(w) <= LONGEST else w[: LONGEST // 2] + w[-LONGEST // 2 :] for w in words]
-    text = "".join(f"\x02{w}\x03" for w in words)
-    code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    code = _codes("".join(f"\x02{w}\x03" for w in words))
     sizes = np.fromiter(map(len, words), np.int64, count=len(words)) + 2
     begins = np.cumsum(sizes) - sizes
     owner = np.repeat(np.arange(len(words)), sizes)
-    gram = code.copy()
-    who, what = [owner], [_mixed(gram, 1)]
-    for n in (2, 3, 4):
-        if len(code) < n:
-            break
-        gram = gram[: len(code) - n + 1] * np.uint64(1_000_003) + code[n - 1 :]
+    who, what = [], []
+    for n, gram in _grams(code):
         same = owner[: len(gram)] == owner[n - 1 :]
         who.append(owner[: len(gram)][same])
-        what.append(_mixed(gram, n)[same])
-    # the word as a whole: a polynomial of its characters
-    power = np.uint64(6364136223846793005) ** np.arange(LONGEST + 2, dtype=np.uint64)
-    whole = np.add.reduceat(code * power[np.arange(len(code)) - np.repeat(begins, sizes)], begins) if len(words) else np.zeros(0, np.uint64)
+        what.append(gram[same])
+    # the word as a whole
+    place = np.arange(len(code)) - np.repeat(begins, sizes)
+    whole = np.add.reduceat(_polynomial(code, place), begins) if len(words) else np.zeros(0, np.uint64)
     who.append(np.arange(len(words)))
     what.append(_mixed(whole, 99))
     for k in range(2, 5):  # longer affixes than the n-grams with marks hold
@@ -77,18 +98,87 @@ def features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         for salt, first in ((20 + k, begins[long_enough]), (40 + k, begins[long_enough] + sizes[long_enough] - k - 1)):
             value = np.zeros(len(long_enough), np.uint64)
             for j in range(k + 1):
-                value = value * np.uint64(1_000_003) + code[first + j]
+                value = value * PRIME + code[first + j]
             who.append(long_enough)
             what.append(_mixed(value, salt))
     return np.concatenate(who), np.concatenate(what)
 
 
-def state_scores(words: list[str], weights: np.ndarray) -> np.ndarray:
+def long_word(word: str, piece: int = PIECE) -> np.ndarray:
+    """How often each bucket is a feature of one word, worked out piece by piece."""
+    size, found = len(word) + 2, np.zeros(BUCKETS, np.int64)
+    whole, marked = np.zeros(1, np.uint64), f"\x02{word}\x03"
+    for begin in range(0, size, piece):
+        # three characters more, so that n-grams that begin in this piece are whole
+        code = _codes(marked[begin : begin + piece + 3])
+        for _, gram in _grams(code):
+            found += np.bincount(gram[:piece], minlength=BUCKETS)
+        own = code[:piece]
+        whole += _polynomial(own, np.arange(begin, begin + len(own))).sum(dtype=np.uint64)
+    found[_mixed(whole, 99)] += 1
+    for k in range(2, 5):
+        if size > k + 1:
+            for salt, affix in ((20 + k, marked[: k + 1]), (40 + k, marked[-k - 1 :])):
+                value = np.zeros(1, np.uint64)
+                for c in _codes(affix):
+                    value = value * PRIME + c
+                found[_mixed(value, salt)] += 1
+    return found
+
+
+def state_scores(words: list[str], weights: np.ndarray, piece: int = PIECE) -> np.ndarray:
     """Scores (word, language): the mean weight of the word's features times the root of their number."""
-    who, what = features(words)
-    n = np.maximum(np.bincount(who, minlength=len(words)), 1)
-    scores = np.stack([np.bincount(who, weights[what, k], len(words)) for k in range(weights.shape[1])], axis=1)
-    return scores / np.sqrt(n)[:, None]
+    scores = np.zeros((len(words), weights.shape[1]))
+    ends = np.cumsum([len(w) + 2 for w in words]) if words else np.zeros(0, np.int64)
+    begin = 0
+    while begin < len(words):
+        if len(words[begin]) > piece:
+            found = long_word(words[begin], piece)
+            scores[begin] = found @ weights / np.sqrt(found.sum())
+            begin += 1
+            continue
+        end = max(begin + 1, int(np.searchsorted(ends, (ends[begin - 1] if begin else 0) + piece, side="right")))
+        who, what = features(words[begin:end])
+        n = np.maximum(np.bincount(who, minlength=end - begin), 1)
+        for k in range(weights.shape[1]):
+            scores[begin:end, k] = np.bincount(who, weights[what, k], end - begin) / np.sqrt(n)
+        begin = end
+    return scores
+
+
+def forward_backward(scores: np.ndarray, starts: np.ndarray, transition: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(probabilities, expected neighbour pairs), a word of every sequence at a time. Memory grows
+    with words times languages."""
+    n, k = scores.shape
+    pairs = np.zeros((k, k))
+    if n == 0:
+        return scores, pairs
+    sizes = np.diff(np.append(starts, n))
+    order = np.argsort(-sizes, kind="stable")
+    begin, size = np.asarray(starts)[order], sizes[order]
+    local = np.exp(scores - scores.max(axis=1, keepdims=True))
+    step = np.exp(transition - transition.max())
+    found, state = np.empty((n, k)), np.ones((len(size), k))
+    # how many sequences have a word at place t: they come first
+    live = np.searchsorted(-size, -np.arange(int(size[0])), side="left")
+    for t, m in enumerate(live):
+        at = begin[:m] + t
+        state = local[at] * (state[:m] @ step if t else 1.0)
+        state /= state.sum(axis=1, keepdims=True)
+        found[at] = state
+    after = np.ones((len(size), k))
+    for t in range(len(live) - 1, -1, -1):
+        m = live[t]
+        at = begin[:m] + t
+        behind = after[:m] * local[at]
+        if t:
+            before = found[at - 1]
+            total = np.einsum("nk,nk->n", before @ step, behind)
+            pairs += step * (before.T @ (behind / total[:, None]))
+        found[at] *= after[:m]
+        behind = behind @ step.T
+        after[:m] = behind / behind.sum(axis=1, keepdims=True)
+    return found / found.sum(axis=1, keepdims=True), pairs
 
 
 def posteriors(scores: np.ndarray, starts: np.ndarray, transition: np.ndarray, block: int = BLOCK) -> np.ndarray:
@@ -99,6 +189,8 @@ def posteriors(scores: np.ndarray, starts: np.ndarray, transition: np.ndarray, b
     n, k = scores.shape
     if n == 0:
         return scores
+    if k > FEW:
+        return forward_backward(scores, starts, transition)[0]
     sizes = np.diff(np.append(starts, n))
     blocks = -(-sizes // block)
     first = np.cumsum(blocks) - blocks
@@ -170,12 +262,11 @@ class Field:
         starts = np.cumsum(counts) - counts
         coded = words.dictionary_encode()
         listed = pc.replace_substring_regex(coded.dictionary, r"[^\pL\pM]+", "")
-        lettered = pc.not_equal(listed, "").to_numpy(zero_copy_only=False)
+        lettered = pc.match_substring_regex(listed, r"\pL").to_numpy(zero_copy_only=False)
         scores = np.zeros((len(listed), len(self.languages)))
         known = np.flatnonzero(lettered)
         spelled = listed.take(pa.array(known)).to_pylist()
-        for begin in range(0, len(known), 50_000):
-            scores[known[begin : begin + 50_000]] = state_scores(spelled[begin : begin + 50_000], self.weights)
+        scores[known] = state_scores(spelled, self.weights)
         code = coded.indices.to_numpy()
         used = np.flatnonzero(counts)
         found = posteriors(scores[code], starts[used], self.transition)
@@ -196,9 +287,15 @@ class Field:
         return names, np.where(there, np.clip(share[np.arange(len(best)), best], 0, 1), 0.0)
 
 
+def slice_bytes(languages: int) -> int:
+    """Text bytes that are worked on at once: probabilities take a number for each word and language."""
+    return SLICE_BYTES // 2 // max(1, languages // 8)
+
+
 def _words(text: str) -> list[str]:
     split = pc.utf8_split_whitespace(pa.array([text.lower()])).flatten()
-    return [w for w in pc.replace_substring_regex(split, r"[^\pL\pM]+", "").to_pylist() if w]
+    spelled = pc.replace_substring_regex(split, r"[^\pL\pM]+", "")
+    return spelled.filter(pc.match_substring_regex(spelled, r"\pL")).to_pylist()
 
 
 def sequences(rows: list[tuple[list[str], int]], rng: np.random.Generator) -> list[list[tuple[str, int]]]:
@@ -233,7 +330,7 @@ def train(rows: list[tuple[list[str], int]], languages: list[str], seed: int = 0
             who, what = features(listed)
             n = np.bincount(who, minlength=len(listed))
             scores = state_scores(listed, weights)[code]
-            found = posteriors(scores, starts, transition)
+            found, joint = forward_backward(scores, starts, transition)
             off = found.copy()
             off[np.arange(len(truth)), truth] -= 1
             by_word = np.zeros((len(listed), k))
@@ -247,7 +344,6 @@ def train(rows: list[tuple[list[str], int]], languages: list[str], seed: int = 0
             inner = np.ones(len(pairs), bool)
             inner[starts] = False
             right = np.flatnonzero(inner)
-            joint = _pair_expectation(found, transition, right)
             seen = np.zeros((k, k))
             np.add.at(seen, (truth[right - 1], truth[right]), 1)
             step = (joint - seen) / len(pairs)
@@ -256,40 +352,42 @@ def train(rows: list[tuple[list[str], int]], languages: list[str], seed: int = 0
     return Field(languages, weights.astype(np.float32), transition)
 
 
-def _pair_expectation(found: np.ndarray, transition: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Expected neighbour pairs. With p(left) and p(right) known, a pair's table has these margins and the
-    transition's odds ratios, so a few rounds of proportional fitting give it."""
-    table_ = np.broadcast_to(np.exp(transition - transition.max()), (len(right), *transition.shape)).copy()
-    rows, columns = found[right - 1], found[right]
-    for _ in range(12):
-        table_ *= (rows / np.maximum(table_.sum(axis=2), 1e-300))[:, :, None]
-        table_ *= (columns / np.maximum(table_.sum(axis=1), 1e-300))[:, None, :]
-    return table_.sum(axis=0)
-
-
-def fit(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_words: int = SAMPLE_WORDS) -> Field:
-    """Learn from (text, lang): of each language the first ``sample_docs`` texts by a hash, and of each text the
-    ``sample_words`` words from a place that the hash picks."""
+def fit(
+    labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_words: int = SAMPLE_WORDS, sample_signs: int = SAMPLE_SIGNS, sample_all: int = SAMPLE_ALL
+) -> Field:
+    """Learn from (text, lang): of each language the first ``sample_docs`` texts by a hash (fewer if all languages
+    together would have more than ``sample_all``, but 20 at least), of each text the ``sample_words`` words from a place that
+    the hash picks, and of a word the ``sample_signs`` characters from such a place. Every language is learned."""
     rows = labelled.where("text IS NOT NULL AND lang IS NOT NULL").select("lang", "text", F.md5(F.concat(F.lit("lang|"), "text")).alias("hash"))
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()
+    counts = rows.groupBy("lang").count().collect()
     if not counts:
         return Field([], np.zeros((BUCKETS, 0)), np.zeros((0, 0)))
     languages = sorted(r["lang"] for r in counts)
+    sample_docs = min(sample_docs, max(20, sample_all // len(languages)))
     # twice the wanted share by hash, so that few rows are sorted; a language of few rows is taken whole
-    bound = F.create_map(*[x for r in counts for x in (F.lit(r["lang"]), F.lit(min(1.0, (2.0 * sample_docs + 50) / r["count"])))])
-    below = F.conv(F.substring("hash", 1, 8), 16, 10).cast("bigint") / F.lit(float(16**8)) < bound[F.col("lang")]
-    drawn = rows.where(below).groupBy("lang", "hash").agg(F.first("text").alias("text"))  # copies of a text count once
-
-    def cut(frame: pd.DataFrame) -> pd.DataFrame:
-        first = frame.sort_values("hash").head(sample_docs)
-        found = []
-        for text, digest in zip(first["text"], first["hash"]):
-            words = _words(text)
-            at = int(digest[8:16], 16) % max(1, len(words) - sample_words + 1)
-            found.append(words[at : at + sample_words])
-        return pd.DataFrame({"lang": first["lang"], "words": found})
-
-    sample = drawn.groupBy("lang").applyInPandas(cut, "lang string, words array<string>").toPandas()
+    shares = [(r["lang"], min(1.0, (2.0 * sample_docs + 50) / r["count"])) for r in counts]
+    bound = F.broadcast(labelled.sparkSession.createDataFrame(shares, "lang string, share double"))
+    below = F.conv(F.substring("hash", 1, 8), 16, 10).cast("bigint") / F.lit(float(16**8)) < F.col("share")
+
+    def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            found = []
+            for text, digest in zip(frame["text"], frame["hash"]):
+                words, place = _words(text), int(digest[8:16], 16)
+                at = place % max(1, len(words) - sample_words + 1)
+                # a long word, as in text without spaces, is read from a place of its own
+                tails = [place % max(1, len(w) - sample_signs + 1) for w in words[at : at + sample_words]]
+                found.append([w[t : t + sample_signs] for w, t in zip(words[at : at + sample_words], tails)])
+            yield pd.DataFrame({"lang": frame["lang"], "hash": frame["hash"], "words": found})
+
+    # texts are cut before they are shuffled; copies of a text count once
+    drawn = rows.join(bound, "lang").where(below).select("lang", "hash", "text").mapInPandas(cut, "lang string, hash string, words array<string>")
+    drawn = drawn.groupBy("lang", "hash").agg(F.first("words").alias("words"))
+
+    def first(frame: pd.DataFrame) -> pd.DataFrame:
+        return frame.sort_values("hash").head(sample_docs)[["lang", "words"]]
+
+    sample = drawn.groupBy("lang").applyInPandas(first, "lang string, words array<string>").toPandas()
     number = {name: i for i, name in enumerate(languages)}
     taught = sorted((list(w), number[l]) for w, l in zip(sample["words"], sample["lang"]) if len(w))
     return train(taught, languages) if taught else Field([], np.zeros((BUCKETS, 0)), np.zeros((0, 0)))
@@ -302,7 +400,7 @@ def identify(docs: DataFrame, field: Field, keep: list[str], text_column: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
-            for part in slices(batch, text_column, SLICE_BYTES // 2):
+            for part in slices(batch, text_column, slice_bytes(len(model.languages))):
                 names, score = model.predict(part.column(text_column))
                 columns = [part.column(k) for k in keep] + [pa.array(names, pa.string()), pa.array(score)]
                 yield pa.RecordBatch.from_arrays(columns, names=[*keep, "lang_pred", "score"])
@@ -319,7 +417,7 @@ def label_words(docs: DataFrame, field: Field, id_column: str = "doc_id", text_c
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
-            for part in slices(batch, text_column, SLICE_BYTES // 4):
+            for part in slices(batch, text_column, slice_bytes(len(model.languages)) // 2):
                 words, starts, lettered, found = model.label(part.column(text_column))
                 sizes = np.diff(np.append(starts, len(words)))
                 owner = np.repeat(np.arange(part.num_rows), sizes)

@@ -40,8 +40,60 @@ def test_pair_expectation_matches_all_paths():
         whole += value
         for a, b in zip(path, path[1:]):
             joint[a, b] += value
-    found = language.posteriors(scores, np.array([0]), transition)
-    assert np.allclose(language._pair_expectation(found, transition, np.arange(1, n)), joint / whole, atol=1e-3)
+    found, pairs = language.forward_backward(scores, np.array([0]), transition)
+    assert np.allclose(pairs, joint / whole, atol=1e-9)
+    assert np.allclose(found, language.posteriors(scores, np.array([0]), transition), atol=1e-9)
+
+
+def test_blocks_and_words_agree():
+    rng = np.random.default_rng(5)
+    sizes = rng.integers(1, 200, 40)
+    starts = np.cumsum([0, *sizes])[:-1]
+    scores, transition = rng.normal(size=(int(sizes.sum()), 5)) * 3, rng.normal(size=(5, 5))
+    found, pairs = language.forward_backward(scores, starts, transition)
+    assert np.allclose(found, language.posteriors(scores, starts, transition), atol=1e-9)
+    assert np.isclose(pairs.sum(), len(scores) - len(sizes))
+
+
+def test_long_words_are_read_whole():
+    rng = random.Random(2)
+    words = ["ab", "x" * 50, "".join(rng.choice("一二三四五六") for _ in range(2_000)), "", "é" * 7]
+    who, what = language.features(words)
+    for k, word in enumerate(words):
+        want = np.bincount(what[who == k], minlength=language.BUCKETS)
+        for piece in (3, 64, 1 << 18):
+            assert (language.long_word(word, piece) == want).all()
+    weights = np.random.default_rng(1).normal(size=(language.BUCKETS, 3))
+    assert np.allclose(language.state_scores(words, weights, 16), language.state_scores(words, weights), atol=1e-6)
+    other = words[2][:700] + words[2][700:1400][::-1] + words[2][1400:]
+    assert not np.allclose(*language.state_scores([words[2], other], weights))
+
+
+def test_many_languages():
+    """More languages than blocks are used for, one of them without spaces."""
+    rng = random.Random(4)
+    names = [f"l{k:02d}" for k in range(30)]
+    sounds = {n: ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(3)) for _ in range(6)] for n in names}
+    sounds["l07"] = list("漢字仮名交文章")
+
+    def said(name, n):
+        words = ["".join(rng.choice(sounds[name]) for _ in range(3)) for _ in range(n)]
+        return ["".join(words)] if name == "l07" else words
+
+    model = language.train([(said(n, 40), k) for k, n in enumerate(names) for _ in range(6)], names)
+    texts = [" ".join(said(n, 30)) for n in names]
+    assert sum(a == b for a, b in zip(model.predict(pa.array(texts))[0], names)) >= 29
+    assert model.predict(pa.array([said("l07", 100_000)[0]]))[0] == ["l07"]
+
+
+def test_sample_is_cut_before_the_shuffle(spark):
+    rng = random.Random(6)
+    rows = [(" ".join(text_of(rng, name, 30).split()), name) for name in SYLLABLES for _ in range(30)]
+    rows += [("漢字仮名" * 5_000, "dd"), ("\u0301 \u0302", "dd"), (None, "dd"), ("text", None)]
+    df = spark.createDataFrame(rows, "text string, lang string")
+    model = language.fit(df, sample_docs=20, sample_words=50)
+    assert model.languages == ["aa", "bb", "cc", "dd"]
+    assert model.predict(pa.array(["karito mukari", "名字漢仮" * 50]))[0] == ["aa", "dd"]
 
 
 def field():
@@ -68,6 +120,7 @@ def test_odd_texts():
     assert names[:4] == ["und"] * 4 and names[4] == names[5] == names[8] == "aa"
     assert (score[:4] == 0).all() and ((score >= 0) & (score <= 1)).all()
     assert model.predict(pa.array([], pa.string()))[0] == []
+    assert model.predict(pa.array(["\u0301\u0302 \u0301"]))[0] == ["und"]
 
 
 def test_query_held_out_accuracy(spark, sf_dir):
