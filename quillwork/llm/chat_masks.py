@@ -7,12 +7,14 @@ loss ranges are their characters inside the text. Control strings inside roles a
 texts are escaped with backslashes, so a rendered text can be read back exactly.
 
 A very long conversation is rendered and encoded in chunks of consecutive turns, each
-a row, cut at turn marks; only its digests need its rows one after the other, and they are
+a row, cut at turn marks. Rows that cannot be told apart by their turn's number, as where turns are
+null or all the same, are a crowd once there are many: equal rows of it are counted, the others put in order over all
+tasks, and cut into pieces by their place. Only a conversation's digests need its rows one after the other, and they are
 streamed, so no conversation has to fit in memory.
 
 Defined results: a null text or role is empty; rows are ordered by turn, then role,
 then text, null first; repeated rows are turns of their own; a null conv_id is a
-conversation; an empty table gives no rows.
+conversation; an empty table gives no rows; further columns of whatever name are not read.
 """
 
 from __future__ import annotations
@@ -21,10 +23,11 @@ import hashlib
 import os
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillwork.llm.common import table
@@ -32,6 +35,10 @@ from quillwork.session import materialise
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
 CHUNK_TURNS = 256
+#: Rows of one conversation and chunk that are still put in order by one task, and rows of a task that orders a crowd.
+CROWD, RUN = 4_096, 1 << 16
+#: Characters of a text by which a crowd is dealt over tasks.
+PREFIX = 256
 LOSS_ROLE = "assistant"
 HEAD, NAMED, TAIL = "### ", ":\n", "\n</turn>\n"
 CONTROL = re.compile(r"\\|###|</turn>")
@@ -90,17 +97,63 @@ def align(starts: np.ndarray, ends: np.ndarray, spans: list[tuple[int, int]]) ->
     return mask, covered
 
 
+def same(left: DataFrame, right: DataFrame, columns: list[str]) -> Column:
+    return reduce(Column.__and__, [left[c].eqNullSafe(right[c]) for c in columns])
+
+
+def pieces(conversations: DataFrame, chunk_turns: int = CHUNK_TURNS, crowd: int = CROWD) -> DataFrame:
+    """(conv_id, chunk, piece, rows): the turns in order, at most ``chunk_turns`` a row; chunks and pieces number them."""
+    key = ["conv_id", "chunk"]
+    rows = conversations.select(
+        "conv_id",
+        F.coalesce(F.floor(F.col("turn") / chunk_turns), F.lit(-(2**62))).cast("long").alias("chunk"),
+        F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")).alias("row"),
+    )
+    counts = rows.groupBy(*key).agg(F.count("*").alias("n")).where(F.col("n") > crowd)
+    crowds = materialise(counts, "crowds")
+    total = crowds.agg(F.sum("n")).first()[0]
+    plain = rows
+    if total:
+        # a crowd has more than CROWD rows, so there are fewer crowds than rows / CROWD
+        hot = F.broadcast(crowds.select(*key))
+        plain = rows.join(hot, same(rows, hot, key), "left_anti")
+    listed = plain.groupBy(*key).agg(F.sort_array(F.collect_list("row")).alias("all"))
+    starts = F.sequence(F.lit(0), F.size("all") - 1, F.lit(chunk_turns))
+    listed = listed.select(*key, "all", F.posexplode(starts).alias("piece", "start"))
+    found = listed.select(*key, F.col("piece").cast("long").alias("piece"), F.slice("all", F.col("start") + 1, chunk_turns).alias("rows"))
+    if not total:
+        return found
+    # equal rows count once; the rest is dealt by ranges, so that a task's rows come before the next one's
+    distinct = rows.join(hot, same(rows, hot, key), "left_semi").groupBy(*key, "row").agg(F.count("*").alias("n"))
+    order = [*key, F.col("row.turn"), F.col("row.role"), F.substring("row.text", 1, PREFIX)]
+    dealt = materialise(distinct.repartitionByRange(int(total // RUN) + 1, *order).withColumn("run", F.spark_partition_id()), "runs")
+    behind = Window.partitionBy(*key).orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
+    before = dealt.groupBy(*key, "run").agg(F.sum("n").alias("n")).select(*key, "run", F.coalesce(F.sum("n").over(behind), F.lit(0)).alias("before"))
+    inside = Window.partitionBy(*key, "run").orderBy("row").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    numbered = dealt.withColumn("upto", F.sum("n").over(inside))
+    # runs times crowds that meet there: fewer than runs + crowds
+    known = F.broadcast(before)
+    placed = numbered.join(known, same(numbered, known, [*key, "run"])).select(
+        *[numbered[c] for c in key], "row", (F.col("before") + F.col("upto") - F.col("n")).alias("begin"), (F.col("before") + F.col("upto")).alias("end")
+    )
+    piece = F.explode(F.sequence(F.expr(f"begin div {chunk_turns}"), F.expr(f"(end - 1) div {chunk_turns}"))).alias("piece")
+    cut = placed.select(*key, "row", "begin", "end", piece)
+    copies = F.least("end", (F.col("piece") + 1) * chunk_turns) - F.greatest("begin", F.col("piece") * chunk_turns)
+    ordered = F.sort_array(F.collect_list(F.struct("begin", "row", copies.cast("int").alias("copies"))))
+    crowded = cut.groupBy(*key, "piece").agg(ordered.alias("all"))
+    spread = F.flatten(F.transform("all", lambda x: F.array_repeat(x["row"], x["copies"])))
+    return found.unionByName(crowded.select(*key, "piece", spread.alias("rows")))
+
+
 def format_conversations(
-    conversations: DataFrame, tokenizer: str = TOKENIZER, chunk_turns: int = CHUNK_TURNS, loss_role: str = LOSS_ROLE
+    conversations: DataFrame, tokenizer: str = TOKENIZER, chunk_turns: int = CHUNK_TURNS, loss_role: str = LOSS_ROLE, crowd: int = CROWD
 ) -> DataFrame:
-    """(conv_id, chunk, formatted, ids, starts, ends, mask, loss): one row per conversation, or per chunk of a long one.
+    """(conv_id, chunk, piece, formatted, ids, starts, ends, mask, loss): one row per conversation, or per piece of a long one.
 
     starts and ends are the tokens' code points in ``formatted``, mask is true for tokens to learn from, and
     loss has the ranges (s, e) of ``formatted`` that are learned from.
     """
-    turn = F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    chunk = F.coalesce(F.floor(F.col("turn") / chunk_turns), F.lit(-(2**62))).cast("long").alias("chunk")
-    groups = conversations.select("conv_id", chunk, turn.alias("row")).groupBy("conv_id", "chunk").agg(F.sort_array(F.collect_list("row")).alias("rows"))
+    groups = pieces(conversations, chunk_turns, crowd)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -125,18 +178,19 @@ def format_conversations(
                     [
                         part.column("conv_id"),
                         part.column("chunk"),
+                        part.column("piece"),
                         pa.array([text for text, _ in drawn], pa.string()),
                         *(pa.array(out[k], numbers) for k in ("ids", "starts", "ends")),
                         pa.array(out["mask"], pa.list_(pa.bool_())),
                         pa.array(out["loss"], pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32())]))),
                     ],
-                    names=["conv_id", "chunk", "formatted", *out],
+                    names=["conv_id", "chunk", "piece", "formatted", *out],
                 )
 
     kind = groups.schema["conv_id"].dataType.simpleString()
     return groups.mapInArrow(
         run,
-        f"conv_id {kind}, chunk long, formatted string, ids array<int>, starts array<int>, ends array<int>,"
+        f"conv_id {kind}, chunk long, piece long, formatted string, ids array<int>, starts array<int>, ends array<int>,"
         " mask array<boolean>, loss array<struct<s:int,e:int>>",
     )
 
@@ -177,9 +231,9 @@ def digests(formatted: DataFrame) -> DataFrame:
             yield _digest_rows(done, ids)
 
     ids = pa.int64() if formatted.schema["conv_id"].dataType.simpleString() == "bigint" else pa.string()
-    rows = formatted.select("conv_id", "chunk", "formatted", "loss")
+    rows = formatted.select("conv_id", "chunk", "piece", "formatted", "loss")
     kind = rows.schema["conv_id"].dataType.simpleString()
-    return rows.repartition("conv_id").sortWithinPartitions("conv_id", "chunk").mapInArrow(
+    return rows.repartition("conv_id").sortWithinPartitions("conv_id", "chunk", "piece").mapInArrow(
         run, f"conv_id {kind}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
     )
 

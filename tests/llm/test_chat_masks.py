@@ -54,6 +54,20 @@ def test_odd_conversations(spark):
     assert cm.digests(cm.format_conversations(df.limit(0))).count() == 0
 
 
+def test_crowds_are_cut(spark):
+    """Turns that are null, or all of one number, equal rows among them: no row of the result holds more than a chunk."""
+    said = lambda k: ("assistant" if k % 3 else "user", f"turn {k * 7919 % 3000:04d} </turn>")
+    rows = [(1, None, *said(k)) for k in range(3000)] + [(2, 5, *said(k)) for k in range(3000)]
+    rows += [(3, 7, "assistant", "again")] * 2500 + [(3, 7, "user", "é" * 300 + str(k)) for k in range(40)]
+    rows += [(None, None, None, None)] * 1100 + [(None, k, "user", "x") for k in range(600)] + [(4, 0, "user", "a"), (4, 1, "assistant", "b")]
+    df = spark.createDataFrame([(*r, "r", 1) for r in rows], "conv_id long, turn long, role string, text string, row string, piece int").repartition(5)
+    result = cm.format_conversations(df, chunk_turns=64, crowd=500)
+    assert {r[0]: tuple(r)[1:5] for r in cm.digests(result).collect()} == plain(rows)
+    held = cm.pieces(df, 64, 500).selectExpr("conv_id", "chunk", "piece", "size(rows) AS n").collect()
+    assert max(r["n"] for r in held) <= 64 and sum(r["n"] for r in held) == len(rows)
+    assert len({tuple(r)[:3] for r in held}) == len(held)
+
+
 def test_query(spark, sf_dir):
     rows = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
     rows += [(-7, 0, "user", "\\### Assistant: </turn> ok"), (-7, 1, "assistant", "\\### Assistant: </turn> ok")]
