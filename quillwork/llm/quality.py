@@ -6,14 +6,20 @@ counts are summed by n-gram, and joins by context give each order's discounted s
 the weight that passes to the order below. Discounts come from the counts of counts; lower orders
 count how many characters precede.
 
-Scoring joins the documents with the model shard by shard. A shard holds the n-grams of some last context characters, of
-bounded number in expectation, and goes to all tasks; documents stay where they are. A document's
-perplexity is the sum over shards, and it is kept if that is at most its language's quantile of trusted documents
+Scoring is by joins too. Documents are written in chunks of bounded size, and each chunk asks for its distinct n-grams.
+All distinct n-grams asked for meet the shares and contexts of one order after the other, which gives
+their probabilities; a last join answers the chunks, and a document's perplexity is summed in its chunk. Nothing passes
+through the driver. The n-grams of the order joins are distinct and differ, within a key, in one symbol at most, so no key has
+more than 65,536 rows; a key of the last join has one row for each chunk, a small part of what each chunk asks for. So no key
+is hot in any of them, whatever a language's or source's share of the rows.
+
+A document is kept if its perplexity is at most its language's quantile of trusted documents
 which the model has not counted, found from counts of finely rounded values.
 
 Defined results: a null or blank text has no perplexity and is not kept; a language that is null or
 has few trusted documents is judged by all languages together; without trusted text every other document
-is kept, with no perplexity; equal texts of a language have equal results; ids may be null or repeated.
+is kept, with no perplexity; equal texts of a language have equal results; ids may be null or repeated; an empty table gives
+no rows; other columns are not read, whatever their names; a very long text is a chunk of its own.
 """
 
 from __future__ import annotations
@@ -22,8 +28,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 from pyspark.sql.window import Window
 
 from quillwork.llm.common import slices, table
@@ -36,7 +45,8 @@ QUANTILE = 0.98
 LEAST_DOCS = 50
 ALL = "*"
 SLICE = 2 << 20
-SHARD_GRAMS = 1_500_000
+#: Text bytes of a chunk of documents, which ask for n-grams together.
+CHUNK_BYTES = 8 << 20
 #: Logarithms of perplexity are compared in steps of this.
 STEP = 0.001
 #: Symbols are code points below this; others share the last.
@@ -110,94 +120,105 @@ def kneser_ney(trusted: DataFrame) -> DataFrame:
     return materialise(model, "model")
 
 
-def shard_number(kind: Column, order: Column, gram: Column, shards: int) -> Column:
-    """The shard of an n-gram or context: by the context's last character; those without a context are in all (-1)."""
-    last = F.when(kind == 0, context_of(gram)).otherwise(gram).bitwiseAND(F.lit(SYMBOLS - 1))
-    return F.when(order == 1, F.lit(-1)).otherwise((last * 40503 % 65536 % shards).cast("int"))
-
-
-class Shard:
-    """The sorted rows of a model shard; looks n-grams up order by order."""
-
-    def __init__(self, number: int, shards: int, rows: dict[tuple[str, int, int], tuple[np.ndarray, np.ndarray]]):
-        self.number, self.shards, self.rows = number, shards, rows
-
-    def _value(self, lang: str, order: int, kind: int, key: np.ndarray, other: float) -> np.ndarray:
-        known, value = self.rows.get((lang, order, kind), (np.zeros(0, np.uint64), np.zeros(0)))
-        if not len(known):
-            return np.full(len(key), other)
-        at = np.minimum(np.searchsorted(known, key), len(known) - 1)
-        return np.where(known[at] == key, value[at], other)
-
-    def log_sums(self, lang: str, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """By text: the sum of log probabilities of this shard's n-grams, and the number of all n-grams."""
-        found = [grams(t) for t in texts]
-        sizes = np.array([len(f) for f in found])
-        distinct, where = np.unique(np.concatenate(found), return_inverse=True)
-        p = np.full(len(distinct), 1.0 / SYMBOLS)
-        for order in range(1, ORDER + 1):
-            gram = distinct if order == ORDER else distinct & np.uint64((1 << (16 * order)) - 1)
-            p = self._value(lang, order, 0, gram, 0.0) + self._value(lang, order, 1, gram >> np.uint64(16), 1.0) * p
-        last = (distinct >> np.uint64(16)) & np.uint64(SYMBOLS - 1)
-        own = last * np.uint64(40503) % np.uint64(65536) % np.uint64(self.shards) == self.number
-        return np.add.reduceat(np.where(own, np.log(p), 0.0)[where], np.cumsum(sizes) - sizes), sizes
-
-
-def model_shards(model: DataFrame, shard_grams: int = SHARD_GRAMS) -> Iterator[Shard]:
-    """The model as shards, one after the other, each small enough to be sent to every task."""
-    shards = max(1, -(-model.count() // shard_grams))
-    langs = sorted(r["lang"] for r in model.select("lang").distinct().collect())
-    # a row is 20 bytes on its way: one number for language, order and kind, the n-gram, and the value
-    key = ((F.array_position(F.lit(langs), F.col("lang")) - 1) * 16 + F.col("order") * 2 + F.col("kind")).cast("int")
-    numbered = model.withColumn("shard", shard_number(F.col("kind"), F.col("order"), F.col("gram"), shards))
-    for number in range(shards):
-        rows = numbered.where(F.col("shard").isin(number, -1)).select(key.alias("key"), "gram", "value").toArrow()
-        keys, gram, value = (rows.column(c).to_numpy() for c in ("key", "gram", "value"))
-        del rows
-        order = np.lexsort((gram.view(np.uint64), keys))
-        keys, gram, value = keys[order], gram[order].view(np.uint64), value[order]
-        begins = np.flatnonzero(np.diff(keys, prepend=-1))
-        by = {
-            (langs[k // 16], k % 16 // 2, k % 2): (gram[a:b], value[a:b])
-            for k, a, b in zip(keys[begins].tolist(), begins.tolist(), [*begins[1:].tolist(), len(keys)])
-        }
-        yield Shard(number, shards, by)
-
-
-def perplexities(docs: DataFrame, model: DataFrame, shard_grams: int = SHARD_GRAMS) -> DataFrame:
+def in_chunks(docs: DataFrame, chunk_bytes: int) -> DataFrame:
+    """``docs``, written with the number of the chunk they fall into: runs of rows of at most ``chunk_bytes``, or one row.
+
+    The written numbers are read by both passes, so a task that is run again cannot number otherwise.
+    """
+    names = docs.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, filled = TaskContext.get().partitionId() << 32, 0
+        for batch in batches:
+            for part in slices(batch, "text", chunk_bytes):
+                size = part.column("text").nbytes
+                if filled and filled + size > chunk_bytes:
+                    number, filled = number + 1, 0
+                filled += size
+                yield pa.RecordBatch.from_arrays([pa.array([number] * part.num_rows, pa.int64()), *part.columns], names=["chunk", *names])
+
+    schema = StructType([StructField("chunk", LongType()), *docs.schema.fields])
+    return materialise(docs.mapInArrow(run, schema), "chunks")
+
+
+def asked(chunks: DataFrame) -> DataFrame:
+    """(chunk, lang, gram): the distinct n-grams of each chunk; a chunk that two tasks read may ask twice."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, seen = None, {}
+
+        def told() -> Iterator[pa.RecordBatch]:
+            for lang, gram in seen.items():
+                of = [pa.array([now] * len(gram), pa.int64()), pa.array([lang] * len(gram), pa.string()), pa.array(gram.view(np.int64))]
+                yield pa.RecordBatch.from_arrays(of, names=["chunk", "lang", "gram"])
+
+        for batch in batches:
+            for part in slices(batch, "text", SLICE):
+                found: dict[tuple[int, str], list] = {}
+                for chunk, lang, text in zip(*(part.column(c).to_pylist() for c in ("chunk", "model_lang", "text"))):
+                    if text and text.strip():
+                        found.setdefault((chunk, lang), []).append(grams(text))
+                for (chunk, lang), some in found.items():
+                    if chunk != now:
+                        yield from told()
+                        now, seen = chunk, {}
+                    seen[lang] = np.unique(np.concatenate([seen.get(lang, np.zeros(0, np.uint64)), *some]))
+        yield from told()
+
+    return materialise(chunks.select("chunk", "model_lang", "text").mapInArrow(run, "chunk long, lang string, gram long"), "asked")
+
+
+def gram_scores(wanted: DataFrame, model: DataFrame) -> DataFrame:
+    """(lang, gram, p) for distinct (lang, gram): shares of each order, and what its context passes to the order below."""
+    scores = None
+    for k in range(1, ORDER + 1):
+        rows = wanted.select("lang", cut_to(F.col("gram"), k).alias("gram")).distinct() if k < ORDER else wanted
+        of = model.where(F.col("order") == k)
+        shares = of.where("kind = 0").select("lang", "gram", F.col("value").alias("share"))
+        backs = of.where("kind = 1").select("lang", F.col("gram").alias("context"), F.col("value").alias("back"))
+        rows = rows.withColumn("context", context_of(F.col("gram"))).join(shares, ["lang", "gram"], "left").join(backs, ["lang", "context"], "left")
+        below = F.lit(1.0 / SYMBOLS)
+        if scores is not None:
+            lower = scores.select("lang", F.col("gram").alias("lower"), F.col("p").alias("below"))
+            rows, below = rows.withColumn("lower", cut_to(F.col("gram"), k - 1)).join(lower, ["lang", "lower"]), F.col("below")
+        p = F.coalesce("share", F.lit(0.0)) + F.coalesce("back", F.lit(1.0)) * below
+        scores = materialise(rows.select("lang", "gram", p.alias("p")), "scores")
+    return scores
+
+
+def perplexities(docs: DataFrame, model: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """The rows of (doc_id, lang, model_lang, text) without text, and their perplexity, null for blank texts."""
-    key = ["doc_id", "lang", "model_lang", "digest"]
-    rows = docs.withColumn("digest", F.md5("text"))
-    parts = []
-    for shard in model_shards(model, shard_grams):
-        shared = docs.sparkSession.sparkContext.broadcast(shard)
-
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for part in slices(batch, "text", SLICE):
-                    langs, texts = part.column("model_lang").to_pylist(), part.column("text").to_pylist()
-                    total, size = np.zeros(len(texts)), np.zeros(len(texts), np.int64)
-                    for lang in dict.fromkeys(langs):
-                        at = [k for k, (x, t) in enumerate(zip(langs, texts)) if x == lang and t and t.strip()]
-                        if at:
-                            total[at], size[at] = shared.value.log_sums(lang, [texts[k] for k in at])
-                    yield pa.RecordBatch.from_arrays([*(part.column(k) for k in key), pa.array(total), pa.array(size)], names=[*key, "total", "size"])
-
-        kind = rows.schema["doc_id"].dataType.simpleString()
-        parts.append(rows.select(*key, "text").mapInArrow(run, f"doc_id {kind}, lang string, model_lang string, digest string, total double, size long"))
-    found = parts[0]
-    if len(parts) > 1:  # equal keys have equal sums, so copies are counted and put back
-        numbered = None
-        for number, part in enumerate(parts):
-            part = part.groupBy(*key, "size").agg(F.first("total").alias("total"), F.count("*").alias("copies")).withColumn("shard", F.lit(number))
-            numbered = part if numbered is None else numbered.unionByName(part)
-        found = numbered.groupBy(*key, "size").agg(F.sum("total").alias("total"), F.first("copies").alias("copies"))
-        found = found.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
-    return found.select("doc_id", "lang", "model_lang", F.when(F.col("size") > 0, F.exp(-F.col("total") / F.col("size"))).alias("perplexity"))
+    chunks = in_chunks(docs.select("doc_id", "lang", "model_lang", "text"), chunk_bytes)
+    requests = asked(chunks)
+    scores = gram_scores(materialise(requests.select("lang", "gram").distinct(), "wanted"), model)
+    answers = requests.join(scores, ["lang", "gram"]).select("chunk", "lang", "gram", F.log("p").alias("log_p"))
+    key = ["doc_id", "lang", "model_lang"]
+
+    def run(rows: pa.Table, answer: pa.Table) -> pa.Table:
+        known, out = {}, []
+        for lang, text in zip(rows.column("model_lang").to_pylist(), rows.column("text")):
+            if not text.is_valid or not text.as_py().strip():
+                out.append(None)
+                continue
+            if lang not in known:
+                own = answer.filter(pc.equal(answer.column("lang"), lang))
+                gram, log_p = own.column("gram").to_numpy().view(np.uint64), own.column("log_p").to_numpy()
+                order = np.argsort(gram, kind="stable")
+                known[lang] = gram[order], log_p[order]
+            gram, log_p = known[lang]
+            found = log_p[np.searchsorted(gram, grams(text.as_py()))]
+            out.append(float(np.exp(-found.mean())))
+        return rows.select(key).append_column("perplexity", pa.array(out, pa.float64()))
+
+    schema = StructType([*(chunks.schema[k] for k in key), StructField("perplexity", DoubleType())])
+    return chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(run, schema)
 
 
 def quantiles(values: DataFrame, quantile: float = QUANTILE) -> DataFrame:
-    """(model_lang, threshold): the quantile of (model_lang, perplexity), rounded up to a step."""
+    """(model_lang, threshold): the quantile of (model_lang, perplexity), rounded up to a step.
+
+    Values are counted by step before they meet, and logarithms of perplexity span at most some 50,000 steps.
+    """
     counts = values.groupBy("model_lang", F.ceil(F.log("perplexity") / STEP).alias("bin")).count()
     by = Window.partitionBy("model_lang").orderBy("bin")
     whole = Window.partitionBy("model_lang")
@@ -205,7 +226,7 @@ def quantiles(values: DataFrame, quantile: float = QUANTILE) -> DataFrame:
     return reached.where(F.col("below") >= quantile * F.col("whole")).groupBy("model_lang").agg(F.exp(F.min("bin") * STEP).alias("threshold"))
 
 
-def classify(docs: DataFrame, trusted_ids: DataFrame, quantile: float = QUANTILE, shard_grams: int = SHARD_GRAMS) -> DataFrame:
+def classify(docs: DataFrame, trusted_ids: DataFrame, quantile: float = QUANTILE, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """(doc_id, lang, perplexity, threshold, keep) for each row of (doc_id, text, lang).
 
     ``trusted_ids`` (one column) names trusted documents; three of sixteen of them, by a hash, set the thresholds and
@@ -222,7 +243,7 @@ def classify(docs: DataFrame, trusted_ids: DataFrame, quantile: float = QUANTILE
     if few.limit(1).count() == 0:
         blank = F.coalesce(F.trim("text"), F.lit("")) == ""
         return named.select("doc_id", "lang", F.lit(None).cast("double").alias("perplexity"), F.lit(None).cast("double").alias("threshold"), (~blank).alias("keep"))
-    scored = materialise(perplexities(named, kneser_ney(teach), shard_grams), "perplexities")
+    scored = materialise(perplexities(named, kneser_ney(teach), chunk_bytes), "perplexities")
     known = scored.where("perplexity IS NOT NULL").join(ids.where("_held").select("doc_id"), "doc_id")
     # every language is also among all together; a language without held-out documents takes that threshold
     every = known.select("model_lang", "perplexity").unionByName(known.select(F.lit(ALL).alias("model_lang"), "perplexity"))

@@ -51,13 +51,13 @@ def corpus():
     return docs
 
 
-@pytest.mark.parametrize("shard_grams", [10**6, 150])
-def test_perplexities_match_a_plain_model(spark, shard_grams):
+@pytest.mark.parametrize("chunk_bytes", [quality.CHUNK_BYTES, 700])
+def test_perplexities_match_a_plain_model(spark, chunk_bytes):
     docs = corpus()
     odd = [(900, None, "aa"), (901, " \n", "aa"), (None, docs[0][1], None), (None, docs[0][1], None), (902, "zz " * 20_000, "zz"), (0, docs[0][1], "bb")]
     df = spark.createDataFrame([(*d, 1.0) for d in docs + odd], "doc_id long, text string, lang string, perplexity double").repartition(3)
     trusted = spark.createDataFrame([(d[0],) for d in docs[:220]] + [(None,), (5,)], "doc_id long")
-    got = quality.classify(df, trusted, shard_grams=shard_grams).collect()
+    got = quality.classify(df, trusted, chunk_bytes=chunk_bytes).collect()
     assert len(got) == len(docs) + len(odd)
     import hashlib
 
