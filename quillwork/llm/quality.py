@@ -6,7 +6,7 @@ counts are summed by n-gram, and joins by context give each order's discounted s
 the weight that passes to the order below. Discounts come from the counts of counts; lower orders
 count how many characters precede.
 
-Scoring is by joins too. Documents are written in chunks of bounded size, and each chunk asks for its distinct n-grams.
+Scoring is by joins too. Documents are written in chunks of bounded size, bucketed by chunk, and each chunk asks for its distinct n-grams.
 All distinct n-grams asked for meet the shares and contexts of one order after the other, which gives
 their probabilities; a last join answers the chunks, and a document's perplexity is summed in its chunk. Nothing passes
 through the driver. The n-grams of the order joins are distinct and differ, within a key, in one symbol at most, so no key has
@@ -25,6 +25,7 @@ no rows; other columns are not read, whatever their names; a very long text is a
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +38,7 @@ from pyspark.sql.window import Window
 
 from quillwork.llm.common import slices, table
 from quillwork.operators.joins import lookup_join
-from quillwork.session import materialise
+from quillwork.session import materialise, new_folder
 
 ORDER = 4
 QUANTILE = 0.98
@@ -46,7 +47,7 @@ LEAST_DOCS = 50
 ALL = "*"
 SLICE = 2 << 20
 #: Text bytes of a chunk of documents, which ask for n-grams together.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 32 << 20
 #: Logarithms of perplexity are compared in steps of this.
 STEP = 0.001
 #: Symbols are code points below this; others share the last.
@@ -120,17 +121,19 @@ def kneser_ney(trusted: DataFrame) -> DataFrame:
     return materialise(model, "model")
 
 
-def in_chunks(docs: DataFrame, chunk_bytes: int) -> DataFrame:
+@contextmanager
+def in_chunks(docs: DataFrame, chunk_bytes: int) -> Iterator[DataFrame]:
     """``docs``, written with the number of the chunk they fall into: runs of rows of at most ``chunk_bytes``, or one row.
 
-    The written numbers are read by both passes, so a task that is run again cannot number otherwise.
+    The written numbers are read by both passes, so a task that is run again cannot number otherwise. The table is
+    bucketed by chunk, so texts do not move when answers come to them; its name, not its files, goes at the end.
     """
-    names = docs.columns
+    spark, names = docs.sparkSession, docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, filled = TaskContext.get().partitionId() << 32, 0
         for batch in batches:
-            for part in slices(batch, "text", chunk_bytes):
+            for part in slices(batch, "text", min(chunk_bytes, SLICE)):
                 size = part.column("text").nbytes
                 if filled and filled + size > chunk_bytes:
                     number, filled = number + 1, 0
@@ -138,7 +141,14 @@ def in_chunks(docs: DataFrame, chunk_bytes: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array([number] * part.num_rows, pa.int64()), *part.columns], names=["chunk", *names])
 
     schema = StructType([StructField("chunk", LongType()), *docs.schema.fields])
-    return materialise(docs.mapInArrow(run, schema), "chunks")
+    path = new_folder(spark, "chunks")
+    name = "quillwork_" + path.rsplit("-", 1)[1]
+    buckets = min(int(spark.conf.get("spark.sql.shuffle.partitions")), int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets")))
+    docs.mapInArrow(run, schema).write.bucketBy(buckets, "chunk").option("path", path).option("compression", "zstd").format("parquet").saveAsTable(name)
+    try:
+        yield spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE {name}")
 
 
 def asked(chunks: DataFrame) -> DataFrame:
@@ -188,10 +198,6 @@ def gram_scores(wanted: DataFrame, model: DataFrame) -> DataFrame:
 
 def perplexities(docs: DataFrame, model: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """The rows of (doc_id, lang, model_lang, text) without text, and their perplexity, null for blank texts."""
-    chunks = in_chunks(docs.select("doc_id", "lang", "model_lang", "text"), chunk_bytes)
-    requests = asked(chunks)
-    scores = gram_scores(materialise(requests.select("lang", "gram").distinct(), "wanted"), model)
-    answers = requests.join(scores, ["lang", "gram"]).select("chunk", "lang", "gram", F.log("p").alias("log_p"))
     key = ["doc_id", "lang", "model_lang"]
 
     def run(rows: pa.Table, answer: pa.Table) -> pa.Table:
@@ -210,8 +216,12 @@ def perplexities(docs: DataFrame, model: DataFrame, chunk_bytes: int = CHUNK_BYT
             out.append(float(np.exp(-found.mean())))
         return rows.select(key).append_column("perplexity", pa.array(out, pa.float64()))
 
-    schema = StructType([*(chunks.schema[k] for k in key), StructField("perplexity", DoubleType())])
-    return chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(run, schema)
+    with in_chunks(docs.select(*key, "text"), chunk_bytes) as chunks:
+        requests = asked(chunks)
+        scores = gram_scores(materialise(requests.select("lang", "gram").distinct(), "wanted"), model)
+        answers = requests.join(scores, ["lang", "gram"]).select("chunk", "lang", "gram", F.log("p").alias("log_p"))
+        schema = StructType([*(docs.schema[k] for k in key), StructField("perplexity", DoubleType())])
+        return materialise(chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(run, schema), "perplexities")
 
 
 def quantiles(values: DataFrame, quantile: float = QUANTILE) -> DataFrame:
@@ -243,7 +253,7 @@ def classify(docs: DataFrame, trusted_ids: DataFrame, quantile: float = QUANTILE
     if few.limit(1).count() == 0:
         blank = F.coalesce(F.trim("text"), F.lit("")) == ""
         return named.select("doc_id", "lang", F.lit(None).cast("double").alias("perplexity"), F.lit(None).cast("double").alias("threshold"), (~blank).alias("keep"))
-    scored = materialise(perplexities(named, kneser_ney(teach), chunk_bytes), "perplexities")
+    scored = perplexities(named, kneser_ney(teach), chunk_bytes)
     known = scored.where("perplexity IS NOT NULL").join(ids.where("_held").select("doc_id"), "doc_id")
     # every language is also among all together; a language without held-out documents takes that threshold
     every = known.select("model_lang", "perplexity").unionByName(known.select(F.lit(ALL).alias("model_lang"), "perplexity"))
