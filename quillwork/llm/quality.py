@@ -101,24 +101,23 @@ def discounts(counts: DataFrame) -> DataFrame:
     return counts.groupBy("lang").agg(*n).select("lang", *[c.alias(f"d{k}") for k, c in zip((1, 2, 3), cut)])
 
 
-def kneser_ney(trusted: DataFrame) -> DataFrame:
-    """(lang, order, kind, gram, value): shares of seen n-grams (kind 0), and what a context passes down (kind 1)."""
+def kneser_ney(trusted: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
+    """By order: (lang, gram, share) of seen n-grams, and (lang, context, back), what a context passes to the order below.
+
+    Each is a written table of its own, so Spark knows their sizes before it joins them.
+    """
     counts = {ORDER: materialise(count_grams(trusted), "counts")}
     for k in range(ORDER - 1, 0, -1):
         counts[k] = materialise(counts[k + 1].groupBy("lang", cut_to(F.col("gram"), k).alias("gram")).agg(F.count("*").alias("n")), "counts")
-    parts = []
+    model = []
     for k in range(1, ORDER + 1):
         cut = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
         # one row of discounts per language: small, and Spark broadcasts it by its measured size
         rows = counts[k].join(materialise(discounts(counts[k]), "discounts"), "lang").select("lang", "gram", "n", cut.alias("cut"), context_of(F.col("gram")).alias("context"))
         sums = materialise(rows.groupBy("lang", "context").agg(F.sum("n").alias("whole"), F.sum("cut").alias("taken")), "sums")
-        shares = rows.join(sums, ["lang", "context"]).select("lang", F.lit(k).alias("order"), F.lit(0).alias("kind"), "gram", ((F.col("n") - F.col("cut")) / F.col("whole")).alias("value"))
-        backs = sums.select("lang", F.lit(k).alias("order"), F.lit(1).alias("kind"), F.col("context").alias("gram"), (F.col("taken") / F.col("whole")).alias("value"))
-        parts += [shares, backs]
-    model = parts[0]
-    for part in parts[1:]:
-        model = model.unionByName(part)
-    return materialise(model, "model")
+        shares = rows.join(sums, ["lang", "context"]).select("lang", "gram", ((F.col("n") - F.col("cut")) / F.col("whole")).alias("share"))
+        model.append((materialise(shares, "shares"), sums.select("lang", "context", (F.col("taken") / F.col("whole")).alias("back"))))
+    return model
 
 
 @contextmanager
@@ -178,14 +177,12 @@ def asked(chunks: DataFrame) -> DataFrame:
     return materialise(chunks.select("chunk", "model_lang", "text").mapInArrow(run, "chunk long, lang string, gram long"), "asked")
 
 
-def gram_scores(wanted: DataFrame, model: DataFrame) -> DataFrame:
+def gram_scores(wanted: DataFrame, model: list[tuple[DataFrame, DataFrame]]) -> DataFrame:
     """(lang, gram, p) for distinct (lang, gram): shares of each order, and what its context passes to the order below."""
     scores = None
     for k in range(1, ORDER + 1):
         rows = wanted.select("lang", cut_to(F.col("gram"), k).alias("gram")).distinct() if k < ORDER else wanted
-        of = model.where(F.col("order") == k)
-        shares = of.where("kind = 0").select("lang", "gram", F.col("value").alias("share"))
-        backs = of.where("kind = 1").select("lang", F.col("gram").alias("context"), F.col("value").alias("back"))
+        shares, backs = model[k - 1]
         rows = rows.withColumn("context", context_of(F.col("gram"))).join(shares, ["lang", "gram"], "left").join(backs, ["lang", "context"], "left")
         below = F.lit(1.0 / SYMBOLS)
         if scores is not None:
@@ -196,7 +193,7 @@ def gram_scores(wanted: DataFrame, model: DataFrame) -> DataFrame:
     return scores
 
 
-def perplexities(docs: DataFrame, model: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+def perplexities(docs: DataFrame, model: list[tuple[DataFrame, DataFrame]], chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """The rows of (doc_id, lang, model_lang, text) without text, and their perplexity, null for blank texts."""
     key = ["doc_id", "lang", "model_lang"]
 
