@@ -4,39 +4,42 @@ The base patterns are certain and always stay. High-recall generators propose
 overlapping spans beyond them, boosted trees judge these by format and context, and per kind a
 threshold on the calibrated probability selects spans that overlap nothing chosen before. Format
 features are those of the candidate with spelled signs undone, so they hold for spellings that nobody taught. The
-trees learn from a bounded sample of documents, whose base spans are rewritten in place: into looser
+trees learn from all documents, whose base spans are rewritten in place: into looser
 forms that the base patterns miss (true) and into look-alikes such as dates, prices, amounts and failing checksums
 (false). Candidates as they stand are false where a checksum or a range rules them out, and teach nothing
-otherwise, so no hand labels are needed. Base spans themselves are no examples.
+otherwise, so no hand labels are needed. Base spans themselves are no examples. Every example counts, in bins, trees and
+thresholds alike: equal ones become one row with its counts, and trees and calibration are made of sums over those rows.
 
-Defined results: a null text is empty and has no spans; a sample with fewer than
-``LEAST`` true or false candidates gives no model, and then the base spans are all;
+Defined results: a null text is empty and has no spans; documents with fewer than
+``LEAST`` true or false examples give no model, and then the base spans are all;
 equal texts give equal spans; an empty table gives no rows; repeated rows stay; further columns stay as they are; scanning takes time in proportion to the text, however long its runs.
 """
 
 from __future__ import annotations
 
-import hashlib
 import random
 import re
 from bisect import bisect_left
+from collections import defaultdict
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillwork.llm.boosting import BoostedTrees, isotonic
-from quillwork.llm.common import below_share, table
+from quillwork.llm.boosting import VECTORS, BoostedTrees, isotonic, packed, tallied, unpacked
+from quillwork.llm.common import table
+from quillwork.session import materialise
 
 KINDS = ("email", "ip", "card", "phone")
-#: Documents and candidates that the trees learn from, at most.
-SAMPLE_DOCS = 4000
-SAMPLE_CANDIDATES = 20_000
 LEAST = 30
 #: Least calibrated probability of a span beyond the base patterns.
 SURE = 0.9
+#: Scores are counted by steps of 1 / STEPS, and those beyond FARTHEST with it, so what is calibrated does not grow with the table.
+STEPS, FARTHEST = 1024, 64
 
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
@@ -132,6 +135,7 @@ def as_written(kind: int, found: str) -> str:
 
 
 def features(text: str, span: tuple[int, int, int]) -> list[float]:
+    """Whole numbers; none is above 711, the most characters that a loose pattern takes."""
     start, kind, end = span
     found = as_written(kind, text[start:end])
     digits, groups = only_digits(found), re.findall("[0-9]+", found)
@@ -231,14 +235,26 @@ def ruled_out(text: str, span: tuple[int, int, int]) -> bool:
     return kind == "card" and not luhn(only_digits(found)) or kind == "ip" and any(int(g) > 255 for g in re.findall("[0-9]+", found))
 
 
-def examples(text: str, rng: random.Random) -> list[tuple[int, int, list[float]]]:
-    """(kind, label, features) of candidates: of base spans rewritten in place, and of candidates that are ruled out."""
+def excerpts(text: str) -> list[tuple[int, bool, str, str, str]]:
+    """All that a text teaches by: kind, whether a base span, and the span between what stands around it; first the candidates that are ruled out."""
     base = base_spans(text)
-    covered = Covered(base)
-    out = [(c[1], 0, features(text, c)) for c in candidates(text) if ruled_out(text, c) and not covered.touches(c[0], c[2])]
-    for start, kind, end in base:
-        left, right = text[max(0, start - AROUND) : start], text[end : end + AROUND]
-        for label, forms in zip((1, 0), variants(kind, text[start:end], rng)):
+    covered, out = Covered(base), []
+    if DIGIT.search(text):
+        for kind in map(KINDS.index, ("ip", "card")):  # no other is ever ruled out
+            spans = ((m.start(), kind, m.end()) for m in LOOSE[KINDS[kind]].finditer(text))
+            out += [c for c in spans if ruled_out(text, c) and not covered.touches(c[0], c[2])]
+    spans = [*((c, False) for c in sorted(out)), *((c, True) for c in base)]
+    return [(k, own, text[max(0, s - AROUND) : s], text[s:e], text[e : e + AROUND]) for (s, k, e), own in spans]
+
+
+def examples(taught: list[tuple[int, bool, str, str, str]], rng: random.Random) -> list[tuple[int, list[float]]]:
+    """(label, features) of candidates by a text's excerpts: of base spans rewritten in place, and of candidates that are ruled out."""
+    out = []
+    for kind, own, left, found, right in taught:
+        if not own:
+            out.append((0, features(left + found + right, (len(left), kind, len(left) + len(found)))))
+            continue
+        for label, forms in zip((1, 0), variants(kind, found, rng)):
             for form in forms:
                 near, place = left + form + right, (len(left), kind, len(left) + len(form))
                 known = base_spans(near)
@@ -247,7 +263,7 @@ def examples(text: str, rng: random.Random) -> list[tuple[int, int, list[float]]
                 # what else is proposed at a rewritten span is false: another kind, or another extent
                 for c in candidates(near):
                     if c[0] < place[2] and place[0] < c[2]:
-                        out.append((c[1], int(label == 1 and c == place), features(near, c)))
+                        out.append((int(label == 1 and c == place), features(near, c)))
     return out
 
 
@@ -279,47 +295,59 @@ class SpanModel:
         return [sorted(c) for c in chosen]
 
 
-def fit(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", sample: int = SAMPLE_DOCS) -> SpanModel:
-    """Learn from at most ``sample`` documents that hold a digit or an at sign, the first in the order of a hash."""
+EXCERPTS = pa.list_(pa.struct([("kind", pa.int32()), ("own", pa.bool_()), ("left", pa.string()), ("found", pa.string()), ("right", pa.string())]))
+
+
+def teaching(docs: DataFrame, text_column: str = "text") -> DataFrame:
+    """Every example of ``docs`` as rows of distinct features with their fold and the counts of both labels."""
 
-    def table_of(batches):
+    def excerpted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for text in batch["text"]:
-                order = int.from_bytes(hashlib.md5(text.encode()).digest()[:6])
-                if found := examples(text, random.Random(order)):
-                    yield pd.DataFrame(
-                        {
-                            "order": [hashlib.md5(f"{order}|{k}".encode()).hexdigest() for k in range(len(found))],
-                            "fold": order % 2,
-                            "kind": [kind for kind, _, _ in found],
-                            "label": [label for _, label, _ in found],
-                            "x": [x for _, _, x in found],
-                        }
-                    )
-
-    held = docs.select(F.col(text_column).alias("text")).where(F.col("text").rlike("[0-9@]")).withColumn("hash", F.md5("text"))
-    # copies of a text teach once; only hashes are put in order, and the texts below the last of them stay where they are
-    hashes = below_share(held.select("hash"), "hash", sample, held.count()).distinct().orderBy("hash").limit(sample)
-    last = hashes.agg(F.max("hash")).first()[0]
-    first = held.where(F.col("hash") <= F.lit(last)).groupBy("hash").agg(F.first("text").alias("text")).select("text")
-    rows = (
-        first.mapInPandas(table_of, "order string, fold int, kind int, label int, x array<double>")
-        .orderBy("order")
-        .limit(SAMPLE_CANDIDATES)
-        .toPandas()
-    )
-    if len(rows) == 0 or min((rows["label"] == 1).sum(), (rows["label"] == 0).sum()) < LEAST:
-        return SpanModel()
-    x, y, kind, fold = np.array(rows["x"].tolist(), float), rows["label"].to_numpy(float), rows["kind"].to_numpy(), rows["fold"].to_numpy()
-    if len(np.unique(y[fold == 0])) < 2:
+            found = [(h, e) for h, t in zip(batch.column("hash").to_pylist(), batch.column("text").to_pylist()) if (e := excerpts(t))]
+            yield pa.RecordBatch.from_arrays([pa.array([h for h, _ in found], pa.string()), pa.array([e for _, e in found], EXCERPTS)], ["hash", "taught"])
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts: dict = defaultdict(lambda: [0, 0])
+            for text_hash, taught in zip(batch.column("hash").to_pylist(), batch.column("taught").to_pylist()):
+                order = int(text_hash[:12], 16)
+                for label, x in examples([tuple(e.values()) for e in taught], random.Random(order)):
+                    counts[order % 2, packed(x)][label] += 1
+            columns = [[f for f, _ in counts], [x for _, x in counts], *([n[k] for n in counts.values()] for k in (0, 1))]
+            kinds = (pa.int32(), pa.binary(), pa.int64(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["fold", "x", "n0", "n1"])
+
+    held = docs.select(F.col(text_column).alias("text")).where(F.col("text").rlike("[0-9@]")).select(F.md5("text").alias("hash"), "text")
+    taught = held.mapInArrow(excerpted, "hash string, taught array<struct<kind: int, own: boolean, `left`: string, found: string, `right`: string>>")
+    # copies of a text teach once; of a text only its excerpts are shuffled. They are few bytes but much work, so their tasks are not to be merged by size
+    distinct = taught.dropDuplicates(["hash"]).repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    rows = distinct.mapInArrow(counted, VECTORS)
+    return rows.groupBy("fold", "x").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+
+
+def fit(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> SpanModel:
+    """Learn from every document that holds a digit or an at sign: trees from one half of the distinct texts, thresholds from the other."""
+    vectors = materialise(teaching(docs, text_column), "candidates")
+    tally = tallied(vectors)
+    whole = tally[tally["feature"] == 0]
+    if whole[["n0", "n1"]].sum().min() < LEAST or whole.loc[whole["fold"] == 0, ["n0", "n1"]].sum().min() == 0:
         return SpanModel()
-    trees = BoostedTrees().fit(x[fold == 0], y[fold == 0])
-    scores = trees.score(x)
+    trees = BoostedTrees().fit_table(vectors.where("fold = 0"), tally[tally["fold"] == 0])
+
+    def judged(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if len(batch):
+                x = unpacked(batch["x"].tolist())
+                step = np.floor(np.clip(trees.score(x), -FARTHEST, FARTHEST) * STEPS).astype(np.int32)
+                yield batch[["n0", "n1"]].assign(kind=x[:, : len(KINDS)].argmax(axis=1), step=step)
+
+    judged_rows = vectors.where("fold = 1").mapInPandas(judged, "n0 bigint, n1 bigint, kind int, step int")
+    counts = judged_rows.groupBy("kind", "step").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).toPandas()
     model = SpanModel(trees)
-    for k in range(len(KINDS)):
-        held_out = (fold == 1) & (kind == k)
-        if held_out.sum() >= LEAST:
-            steps, sure = isotonic(scores[held_out], y[held_out])
+    for k, held_out in counts.groupby("kind"):
+        score, n0, n1 = (held_out[c].to_numpy() for c in ("step", "n0", "n1"))
+        if (n0 + n1).sum() >= LEAST:
+            steps, sure = isotonic(np.tile(score / STEPS, 2), np.repeat([0.0, 1.0], len(score)), np.concatenate([n0, n1]))
             if (sure >= SURE).any():
                 model.least[k] = float(steps[np.argmax(sure >= SURE)])
     return model

@@ -188,3 +188,54 @@ def test_forms_that_were_not_taught(spark):
     assert all(h >= 0.9 * t for h, t in zip(hit, total)) and min(total) > 100
     clean = ["look at example.com", "3 @ 4.50", "5 at 3 dot 7", "1 , 2 , 3 , 4", "300 . 20 . 30 . 41", "4111  1111  1111  1112", "2019-04-12", "pages 120 - 135", "2019 2020 2021 2022"]
     assert model.select([around(x) for x in clean]) == [[] for _ in clean]
+
+
+def test_texts_anywhere_in_a_table_teach(spark):
+    """Thousands of documents that teach nothing and come first by their hash leave what the others teach as it is."""
+    rng = random.Random(6)
+    digest = lambda t: hashlib.md5(t.encode()).hexdigest()
+    spans = [lambda: f"mail ann{rng.randrange(10**6)}@example.org now", lambda: f"call +1 ({rng.randrange(200, 999)}) {rng.randrange(200, 999)}-{rng.randrange(2000, 9999)} now"]
+    teaching = [t for t in (rng.choice(spans)() for _ in range(600)) if digest(t) >= "8"]
+    idle = [t for t in (f"page {k}" for k in range(10_000)) if digest(t) < "8"]
+    assert len(idle) > 4000
+    few, many = (pd_.fit(spark.createDataFrame([(t,) for t in texts], "text string")) for texts in (teaching, idle + teaching + teaching[:9]))
+    asked = ["mail jo (at) example (dot) com now", "call (555) 123-4567 now", "page 12"]
+    assert many.select(asked) == few.select(asked) == [[(5, 0, 30)], [(5, 3, 19)], []]
+    assert many.least == few.least and all(map(np.array_equal, many.trees.cuts, few.trees.cuts))
+
+
+def test_every_example_counts(spark):
+    """More examples than any bound there was, counted as a plain loop counts them."""
+    rng = random.Random(8)
+    texts = [f"call +{rng.randrange(10**9, 10**13)} or {rng.randrange(10**15, 10**16)}, {k}" for k in range(700)]
+    counts, total = {}, 0
+    for text in texts:
+        order = int(hashlib.md5(text.encode()).hexdigest()[:12], 16)
+        for label, x in pd_.examples(pd_.excerpts(text), random.Random(order)):
+            counts.setdefault((order % 2, boosting.packed(x)), [0, 0])[label] += 1
+            total += 1
+    assert total > 20_000
+    got = pd_.teaching(spark.createDataFrame([(t,) for t in texts * 2], "text string")).collect()
+    assert {(r["fold"], bytes(r["x"])): [r["n0"], r["n1"]] for r in got} == counts and len(got) == len(counts)
+
+
+def test_trees_of_a_table_are_those_of_its_rows(spark):
+    rng = np.random.default_rng(5)
+    x = np.stack([rng.integers(0, 2, 9000), rng.integers(0, 300, 9000), rng.poisson(3, 9000), np.full(9000, 7)], axis=1)
+    y = ((x[:, 1] > 120) ^ (rng.random(9000) < 0.1 * x[:, 0])).astype(float)
+    cells = {}
+    for row, label in zip(x.tolist(), y):
+        cells.setdefault(tuple(row), [0, 0])[int(label)] += 1
+    table_ = spark.createDataFrame([(0, boosting.packed(k), *n) for k, n in cells.items()], boosting.VECTORS)
+    plain = boosting.BoostedTrees(rounds=4).fit(x, y)
+    for parts in (1, 7):
+        rows = table_.repartition(parts)
+        trees = boosting.BoostedTrees(rounds=4).fit_table(rows, boosting.tallied(rows))
+        assert all(map(np.array_equal, trees.cuts, plain.cuts)) and trees.base == plain.base
+        assert all(np.array_equal(a, b) for one, other in zip(trees.trees, plain.trees) for a, b in zip(one, other))
+    for k, cuts in enumerate(plain.cuts):
+        assert cuts.tolist() == np.unique(np.quantile(x[:, k], np.linspace(0, 1, 33)[1:-1], method="lower")).tolist()
+    label, weight = np.array([0.0, 1, 0, 1, 1]), np.array([3, 1, 2, 4, 0])
+    score = np.array([0.1, 0.1, 0.2, 0.3, 0.2])
+    once, many = boosting.isotonic(score, label, weight), boosting.isotonic(np.repeat(score, weight), np.repeat(label, weight))
+    assert all(map(np.array_equal, once, many))
